@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from campaignry.operators import abtest, campaign, channel, cohorts, revenue, segments, trends
+from campaignry.operators import abtest, campaign, channel, cohorts, explore, quality, revenue, segments, trends
 from campaignry.tables import Tables
 
 Operator = Callable[[Tables], DataFrame]
@@ -110,5 +110,26 @@ def _analytics() -> dict[str, Operator]:
     }
 
 
+def _quality() -> dict[str, Operator]:
+    names = [
+        "dq_run", "dq_rowcounts", "dq_nulls", "dq_orphans", "dq_rules", "dq_warn", "row_counts", "dist_segment",
+        "dist_cvr_channel", "dist_rev_category", "constraint_check", "profile_schema", "profile_nulls", "dup_rows",
+        "dup_keys", "outliers", "validate_enums", "mean_null_pct", "dq_score",
+    ]
+    return {n: getattr(quality, n) for n in names}
+
+
+def _explore() -> dict[str, Operator]:
+    names = [
+        "enrich_lookup", "age_band", "hist", "value_counts", "income_by_segment", "cvr_by_age", "cvr_by_income_quintile",
+        "cvr_by_credit_band", "argbest_band", "corr_matrix", "camp_kpi", "cvr_by_type", "roi_by_product", "top10_cvr",
+        "channel_cpa", "monthly_cvr", "channel_stats", "argbest_channel", "funnel_rows", "segment_cvr",
+        "segment_product_mix", "segment_revenue", "products_held_dist", "category_cvr", "category_rev", "region_stats",
+        "rfm_distributions", "exec_summary", "cvr_summary",
+    ]
+    return {n: getattr(explore, n) for n in names} | {
+        "ab_overall": abtest.ab_overall, "ab_campaign_pivot": abtest.ab_campaign_pivot}
+
+
 def operators() -> dict[str, Operator]:
-    return {**_views(), **_analytics()}
+    return {**_views(), **_analytics(), **_quality(), **_explore()}

@@ -95,7 +95,7 @@ def interactions(orders: DataFrame) -> DataFrame:
              WHEN h < 51 THEN 'Callback Requested' WHEN h < 59 THEN 'Declined' WHEN h < 63 THEN 'Opted Out'
              WHEN h < 68 THEN 'Pending' ELSE 'No Response' END AS interaction_outcome""",
         "CASE WHEN h < 63 THEN date_add(d, CAST(1 + o_orderkey % 7 AS INT)) END AS response_date",
-        "CASE WHEN cid % 3 = 0 THEN CASE WHEN (o_orderkey + o_custkey) % 2 = 0 THEN 'A' ELSE 'B' END END AS ab_variant",
+        "CASE WHEN cid % 3 = 0 THEN CASE WHEN o_orderkey % 2 = 0 THEN 'A' ELSE 'B' END END AS ab_variant",
     )
 
 

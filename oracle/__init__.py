@@ -2,8 +2,8 @@
 
 
 def all_sql() -> dict[str, str]:
-    from oracle import views
+    from oracle import checks, explore, views
     out: dict[str, str] = {}
-    for module in (views,):
+    for module in (views, checks, explore):
         out.update(module.SQL)
     return out

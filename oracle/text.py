@@ -49,7 +49,7 @@ WITH campaign_channels AS (
          WHEN h < 51 THEN 'Callback Requested' WHEN h < 59 THEN 'Declined' WHEN h < 63 THEN 'Opted Out'
          WHEN h < 68 THEN 'Pending' ELSE 'No Response' END AS interaction_outcome,
     CASE WHEN h < 63 THEN CAST(o_orderdate AS DATE) + CAST(1 + o_orderkey % 7 AS INT) END AS response_date,
-    CASE WHEN cid % 3 = 0 THEN CASE WHEN (o_orderkey + o_custkey) % 2 = 0 THEN 'A' ELSE 'B' END END AS ab_variant
+    CASE WHEN cid % 3 = 0 THEN CASE WHEN o_orderkey % 2 = 0 THEN 'A' ELSE 'B' END END AS ab_variant
   FROM (SELECT *, (o_orderkey*3 + o_custkey) % 50 AS cid, (o_orderkey*7 + o_custkey*13) % 100 AS h FROM orders) AS s
 ), campaign_conversions AS (
   SELECT i.interaction_id AS conversion_id, i.interaction_id, i.campaign_id, i.customer_id, c.product_id, i.channel_id,
