@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from campaignry.operators import abtest, campaign, channel, cohorts, explore, quality, revenue, segments, trends
+from campaignry.operators import (
+    abtest, campaign, channel, cohorts, derive, explore, features, load, quality, revenue, rfm, segments, trends,
+)
+from campaignry.session import scratch_path
 from campaignry.tables import Tables
 
 Operator = Callable[[Tables], DataFrame]
@@ -131,5 +134,57 @@ def _explore() -> dict[str, Operator]:
         "ab_overall": abtest.ab_overall, "ab_campaign_pivot": abtest.ab_campaign_pivot}
 
 
+def rounded(op: Operator, dp: int = 6) -> Operator:
+    """Logarithms and float means differ in the last bits between engines; outputs keep six places."""
+    def run(t: Tables) -> DataFrame:
+        df = op(t)
+        reals = (T.DoubleType, T.FloatType)
+        return df.select(*[F.round(f.name, dp).alias(f.name) if isinstance(f.dataType, reals) else f.name for f in df.schema])
+    return run
+
+
+def _customers() -> dict[str, Operator]:
+    score = rfm.rfm_score_py
+    return {
+        "feat_demographic": rounded(features.demographic),
+        "feat_recency": features.recency,
+        "feat_frequency": rounded(features.frequency),
+        "feat_monetary": rounded(features.monetary),
+        "feat_product": rounded(features.product),
+        "feat_engagement": features.engagement,
+        "build_feature_matrix": rounded(features.build_feature_matrix),
+        "scale_features": rounded(features.scale_features),
+        "rfm_score_py": rounded(score),
+        "rfm_label_py": _of(score, "customer_id", "rfm_segment"),
+        "rfm_segment_stats": rfm.rfm_segment_stats,
+        "rfm_fm_grid": rfm.rfm_fm_grid,
+        "rfm_bank_mix": rfm.rfm_bank_mix,
+        "rfm_profile": rfm.rfm_profile,
+        "rfm_radar": rfm.rfm_radar,
+        "rfm_share": rfm.rfm_share,
+        "product_count": derive.product_count,
+        "allocate_contacts": derive.allocate_contacts,
+        "target_audience": derive.target_audience,
+        "dnc_refresh": derive.dnc_refresh,
+    }
+
+
+def _load() -> dict[str, Operator]:
+    return {
+        "src_csv_typed": load.src_csv_typed,
+        "src_parquet": load.src_parquet,
+        "load_append": load.load_append,
+        "load_reconcile": load.load_reconcile,
+        "load_totals": load.load_totals,
+        "upsert_seed": load.upsert_products,
+        "default_columns": load.default_columns,
+        "gold_views": load.gold_views,
+        "bronze_audit": load.bronze_audit,
+        "sink_csv": lambda t: load.sink(
+            rfm.rfm_score_py(t).select("customer_id", "R", "F", "M", "rfm_score", "rfm_segment"),
+            scratch_path(t.spark, "rfm-scores"), "csv"),
+    }
+
+
 def operators() -> dict[str, Operator]:
-    return {**_views(), **_analytics(), **_quality(), **_explore()}
+    return {**_views(), **_analytics(), **_quality(), **_explore(), **_customers(), **_load()}

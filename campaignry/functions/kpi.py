@@ -110,3 +110,9 @@ def band(value, edges: list, labels: list[str]) -> Column:
         hit = (v > lo) & (v <= hi)
         out = F.when(hit, label) if out is None else out.when(hit, label)
     return out
+
+
+def stable_hash(*parts) -> Column:
+    """A 60-bit number from the text of the parts, the same on every engine and run."""
+    text = F.concat_ws(":", *[col(p).cast("string") for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")

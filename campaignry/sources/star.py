@@ -135,4 +135,5 @@ def star_tables(spark: SparkSession, folder: str) -> Tables:
         campaign_conversions=conversions(inter, campaign_product),
         customer_products=holdings(raw["lineitem"], raw["orders"]),
         as_of=AS_OF,
+        folder=folder,
     )

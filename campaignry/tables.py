@@ -26,6 +26,7 @@ class Tables:
     campaign_conversions: DataFrame
     customer_products: DataFrame
     as_of: date
+    folder: str | None = None
     _memo: dict = field(default_factory=dict, repr=False)
 
     @property

@@ -2,8 +2,8 @@
 
 
 def all_sql() -> dict[str, str]:
-    from oracle import checks, explore, views
+    from oracle import checks, customers, explore, views
     out: dict[str, str] = {}
-    for module in (views, checks, explore):
+    for module in (views, checks, explore, customers):
         out.update(module.SQL)
     return out
