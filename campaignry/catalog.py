@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from campaignry.operators import (
-    abtest, campaign, channel, cohorts, derive, explore, features, load, quality, revenue, rfm, segments, trends,
+    abtest, campaign, channel, clusters, cohorts, derive, explore, features, load, propensity, quality, revenue, rfm,
+    segments, trends,
 )
 from campaignry.session import scratch_path
 from campaignry.tables import Tables
@@ -186,5 +187,66 @@ def _load() -> dict[str, Operator]:
     }
 
 
+# The registered jobs try a few settings of the search spaces; the library's defaults try them all.
+QUICK_SEARCH = propensity.Search(
+    logreg=[{"C": 0.1, "penalty": "l2"}, {"C": 1, "penalty": "l1"}],
+    forest=[{"n_estimators": 30, "max_depth": 5, "min_samples_leaf": 5, "max_features": "sqrt"}],
+    boost=[{"n_estimators": 15, "learning_rate": 0.1, "max_depth": 3, "subsample": 0.8, "colsample_bytree": 0.8,
+            "min_child_weight": 5, "gamma": 0}],
+    folds=3,
+)
+
+
+def _quick(op: Operator) -> Operator:
+    def run(t: Tables) -> DataFrame:
+        t._memo.setdefault("search", QUICK_SEARCH)
+        return op(t)
+    return run
+
+
+def _clusters() -> dict[str, Operator]:
+    def started(op: Operator) -> Operator:
+        def run(t: Tables) -> DataFrame:
+            clusters.fitted(t, n_init=3)
+            return op(t)
+        return run
+    names = ["kmeans_fit", "pca_project", "pca_loadings", "pca_centroids", "silhouette_points", "cluster_profile",
+             "cluster_rfm_crosstab", "cluster_assign", "cluster_summary"]
+    return {"kmeans_scan": lambda t: clusters.kmeans_scan(t, n_init=1)} | {
+        n: started(getattr(clusters, n)) for n in names}
+
+
+def filled_medians(t: Tables) -> DataFrame:
+    """What imputation fills: gaps and the exact median per numeric column."""
+    raw, whole = propensity.raw_dataset(t), propensity.build_ml_dataset(t)
+    gaps = raw.select("interaction_id", *[F.col(c).isNull().alias(f"gap_{c}") for c in propensity.NUMERIC])
+    both = whole.join(gaps, "interaction_id")
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"gap_{c}").alias("gap"), F.col(c).alias("v"))
+                      for c in propensity.NUMERIC])
+    return both.select(F.explode(pairs).alias("e")).filter("e.gap").groupBy("e.column_name").agg(
+        F.count(F.lit(1)).alias("filled"), F.round(F.max("e.v"), 6).alias("fill_value"))
+
+
+def _propensity() -> dict[str, Operator]:
+    p = propensity
+    trained = ["ml_logreg", "ml_rf", "ml_gbt", "ml_metrics", "ml_curves", "ml_confusion", "ml_importance",
+               "ml_rank_agreement", "ml_threshold_sweep", "ml_roi_scenarios", "ml_save", "target_list"]
+    return {
+        "ml_customer_history": p.ml_customer_history,
+        "ml_held_categories": lambda t: p.ml_held_categories(t).select(
+            "customer_id", F.array_join("held_categories", "|").alias("held_categories")),
+        "build_ml_dataset": rounded(p.build_ml_dataset),
+        "ml_impute": filled_medians,
+        "ml_split": _of(p.ml_split, "interaction_id", "converted", "is_test", "fold"),
+        "ml_overview": p.ml_overview,
+        "ml_prep": lambda t: p.ml_prep(t).select(
+            "interaction_id", "converted", "weight", "fold", F.size("features").alias("n_features"),
+            F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x), 6).alias("feature_sum")),
+        **{n: _quick(getattr(p, n)) for n in trained},
+    }
+
+
 def operators() -> dict[str, Operator]:
-    return {**_views(), **_analytics(), **_quality(), **_explore(), **_customers(), **_load()}
+    return {
+        **_views(), **_analytics(), **_quality(), **_explore(), **_customers(), **_load(), **_clusters(), **_propensity(),
+    }

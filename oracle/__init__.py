@@ -2,8 +2,8 @@
 
 
 def all_sql() -> dict[str, str]:
-    from oracle import checks, customers, explore, views
+    from oracle import checks, customers, explore, propensity, views
     out: dict[str, str] = {}
-    for module in (views, checks, explore, customers):
+    for module in (views, checks, explore, customers, propensity):
         out.update(module.SQL)
     return out
