@@ -97,7 +97,7 @@ def rank_in_groups(t: Tables) -> DataFrame:
         F.rank().over(Window.partitionBy("channel_name").orderBy(cvr)).alias("rank_within_channel"),
         F.dense_rank().over(Window.partitionBy("product_category", "channel_name").orderBy(r)).alias(
             "rank_product_channel"),
-    )
+    ).orderBy("product_category", "rank_within_product")
 
 
 def worst_cpa(t: Tables, worst: int = 5) -> DataFrame:
@@ -124,7 +124,7 @@ def peer_benchmark(t: Tables, min_contacts: int = 300) -> DataFrame:
         F.round(mean, 2).alias("peer_avg_cvr"), F.round(F.col("conversion_rate_pct") - mean, 2).alias("cvr_vs_peer_avg"),
         F.rank().over(peers.orderBy(F.desc_nulls_last("conversion_rate_pct"))).alias("peer_rank"),
         F.count(F.lit(1)).over(peers).alias("peer_group_size"),
-    )
+    ).orderBy("campaign_type", "channel_name", "peer_rank")
 
 
 def kpi_ctr(t: Tables) -> DataFrame:
@@ -185,4 +185,4 @@ def funnel_campaign(t: Tables) -> DataFrame:
         "campaign_code", "campaign_name", "channel_name", "product_category", *names,
         *[k.pct(names[i + 1], names[i], 1).alias(f"stage_{i + 1}_to_{i + 2}_pct") for i in range(4)],
         k.pct("stage_4_converted", "stage_1_contacted").alias("end_to_end_cvr_pct"),
-    )
+    ).orderBy(F.desc_nulls_last("end_to_end_cvr_pct"))

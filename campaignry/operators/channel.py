@@ -69,4 +69,4 @@ def channel_analysis(t: Tables) -> DataFrame:
             "Below Benchmark").alias("cvr_benchmark_status"),
         k.cpa_flag("cost_per_acquisition", "benchmark_cpa").alias("cpa_benchmark_status"),
         F.when(won > 0, F.round(efficiency, 4)).alias("efficiency_index"),
-    )
+    ).orderBy(F.desc("total_conversions"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from campaignry.functions import kpi as k
 from campaignry.operators.features import SCALE_COLUMNS, build_feature_matrix, scale_features
 from campaignry.operators.rfm import LABELS, rfm_score_py
-from campaignry.session import cut_lineage
+from campaignry.session import cut_lineage, local_frame
 from campaignry.tables import Tables
 
 # Names by cluster number and the profiled metrics.
@@ -46,7 +46,7 @@ def kmeans_scan(t: Tables, ks=range(2, 11), seed: int = 42, n_init: int = 10, ma
         model = best_fit(rows, n, seed, n_init, max_iter)
         out.append((n, float(model.summary.trainingCost), float(judge.evaluate(model.transform(rows)))))
     rows.unpersist()
-    return t.spark.createDataFrame(out, "k int, inertia double, silhouette double")
+    return local_frame(t.spark, out, "k int, inertia double, silhouette double")
 
 
 def fitted(t: Tables, clusters: int = 5, seed: int = 42, n_init: int = 20, max_iter: int = 500) -> KMeansModel:
@@ -90,7 +90,7 @@ def pca_loadings(t: Tables, top: int = 5) -> DataFrame:
     """The strongest features per component by absolute loading."""
     weights = abs(_pca(t).pc.toArray())
     rows = [(f"PC{c + 1}", SCALE_COLUMNS[i], float(weights[i][c])) for i in range(len(SCALE_COLUMNS)) for c in range(2)]
-    frame = t.spark.createDataFrame(rows, "component string, feature string, loading double")
+    frame = local_frame(t.spark, rows, "component string, feature string, loading double")
     order = Window.partitionBy("component").orderBy(F.desc("loading"), "feature")  # one row per feature
     return frame.withColumn("position", F.row_number().over(order)).filter(F.col("position") <= top)
 
@@ -99,7 +99,7 @@ def pca_centroids(t: Tables) -> DataFrame:
     centres = fitted(t).clusterCenters()
     axes = _pca(t).pc.toArray()
     rows = [(i, float(c @ axes[:, 0]), float(c @ axes[:, 1])) for i, c in enumerate(centres)]
-    return t.spark.createDataFrame(rows, "cluster int, pc1 double, pc2 double")
+    return local_frame(t.spark, rows, "cluster int, pc1 double, pc2 double")
 
 
 def silhouette_points(t: Tables) -> DataFrame:

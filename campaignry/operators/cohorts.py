@@ -35,7 +35,7 @@ def cohort_conversion(t: Tables) -> DataFrame:
     by = rows.groupBy("cohort_start").agg(
         F.count("customer_id").alias("cohort_size"), *[k.n_if(c).alias(n) for n, c in buckets.items()])
     return by.select(k.month_key("cohort_start").alias("cohort_month"), "cohort_size",
-                     *[k.pct(n, "cohort_size", 1).alias(n) for n in buckets])
+                     *[k.pct(n, "cohort_size", 1).alias(n) for n in buckets]).orderBy("cohort_month")
 
 
 def cohort_revenue(t: Tables) -> DataFrame:
@@ -53,7 +53,7 @@ def cohort_revenue(t: Tables) -> DataFrame:
     by = rows.groupBy("cohort_start").agg(*[F.sum(F.when(c, F.col("revenue"))).alias(n) for n, c in buckets.items()])
     return by.join(cohort_assign(t), "cohort_start").select(
         k.month_key("cohort_start").alias("cohort_month"), "cohort_size",
-        *[k.ratio(n, "cohort_size", 0).alias(n) for n in buckets])
+        *[k.ratio(n, "cohort_size", 0).alias(n) for n in buckets]).orderBy("cohort_month")
 
 
 def cohort_penetration(t: Tables) -> DataFrame:
@@ -66,4 +66,4 @@ def cohort_penetration(t: Tables) -> DataFrame:
     return by.join(cohort_assign(t), "cohort_start").select(
         k.month_key("cohort_start").alias("cohort_month"), "cohort_size",
         *[k.pct(name(c), "cohort_size", 1).alias(name(c)) for c in CATEGORIES],
-        k.ratio("held", "cohort_size", 2).alias("avg_products_per_customer"))
+        k.ratio("held", "cohort_size", 2).alias("avg_products_per_customer")).orderBy("cohort_month")

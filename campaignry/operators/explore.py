@@ -11,7 +11,7 @@ from campaignry.functions import kpi as k
 from campaignry.operators.campaign import outcome_counts
 from campaignry.plans.ordering import SortedRuns, percentiles
 from campaignry.schema import CATEGORIES
-from campaignry.session import cut_lineage
+from campaignry.session import cut_lineage, local_frame
 from campaignry.tables import Tables
 
 # Band edges (right-closed) and their labels.
@@ -95,15 +95,14 @@ def value_counts(t: Tables, top_regions: int = 10) -> DataFrame:
 def income_by_segment(t: Tables) -> DataFrame:
     """Box statistics of income and credit score per segment: exact quartiles plus the mean."""
     pairs = F.array(*[F.struct(F.concat_ws("|", "customer_segment", F.lit(m)).alias("grp"),
-                               F.col(m).cast("decimal(24,4)").alias("val")) for m in ("annual_income", "credit_score")])
+                               F.col(m).cast("decimal(18,4)").alias("val")) for m in ("annual_income", "credit_score")])
     rows = t.customers.select(F.explode(pairs).alias("e")).select("e.grp", "e.val").filter("val IS NOT NULL")
     with SortedRuns(rows) as runs:
         found = runs.percentiles([0.25, 0.5, 0.75])
         stats = runs.rows.groupBy("grp").agg(
             (F.sum((F.col("val") * F.col("_weight")).cast("decimal(38,4)")).cast("double") / F.sum("_weight")).alias("mean"),
             F.sum("_weight").alias("n")).collect()
-    return t.spark.createDataFrame(
-        [(*r["grp"].split("|"), r["n"], r["mean"], *[float(v) for v in found[r["grp"]]]) for r in stats],
+    return local_frame(t.spark, [(*r["grp"].split("|"), r["n"], r["mean"], *[float(v) for v in found[r["grp"]]]) for r in stats],
         "customer_segment string, metric string, n long, mean double, q1 double, median double, q3 double",
     ).withColumns({c: F.round(c, 4) for c in ("mean", "q1", "median", "q3")})
 
@@ -314,8 +313,7 @@ def rfm_distributions(t: Tables) -> DataFrame:
     medians = (med(touch, "recency"), med(touch.filter("freq > 0"), "freq"), med(money.filter("revenue > 0"), "revenue"))
     counts = touch.agg(F.count(F.lit(1)).alias("a"), k.n_if(F.col("freq") > 0).alias("b")).first()
     customers, ever = t.customers.count(), money.count()
-    return t.spark.createDataFrame(
-        [(counts["a"], counts["b"], ever, customers - ever, ever / customers * 100 if customers else None, *medians)],
+    return local_frame(t.spark, [(counts["a"], counts["b"], ever, customers - ever, ever / customers * 100 if customers else None, *medians)],
         "with_interactions long, active_12m long, ever_converted long, never_converted long, ever_converted_pct double, "
         "median_recency double, median_freq_12m double, median_revenue double")
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from campaignry import schema as S
 from campaignry.operators import abtest, campaign, channel, revenue, segments, trends
 from campaignry.operators.segments import customer_segments
-from campaignry.session import scratch_path
+from campaignry.session import local_frame, scratch_path
 from campaignry.tables import Tables
 
 # Facts are laid out by month, so that a look-back of 12 months reads 13 folders.
@@ -94,7 +94,7 @@ def load_table(df: DataFrame, table: str, folder: str) -> tuple:
 def load_all(t: Tables, folder: str) -> DataFrame:
     """Appends all tables in dependency order and reports what arrived."""
     rows = [load_table(t[n], n, folder) for n in S.LOAD_ORDER]
-    audit = t.spark.createDataFrame(rows, "table_name string, rows_before long, source_rows long, rows_after long")
+    audit = local_frame(t.spark, rows, "table_name string, rows_before long, source_rows long, rows_after long")
     return audit.withColumns({
         "rows_loaded": F.col("rows_after") - F.col("rows_before"),
         "status": F.when(F.col("rows_after") - F.col("rows_before") == F.col("source_rows"), "OK").otherwise("MISMATCH"),
@@ -143,8 +143,7 @@ PRODUCT_SEED = [
 
 
 def product_seed(spark: SparkSession) -> DataFrame:
-    raw = spark.createDataFrame(
-        PRODUCT_SEED, "product_code string, product_name string, product_category string, v string, min_eligibility_age int")
+    raw = local_frame(spark, PRODUCT_SEED, "product_code string, product_name string, product_category string, v string, min_eligibility_age int")
     return raw.withColumn("revenue_value", F.col("v").cast(S.MONEY)).drop("v").withColumn("is_active", F.lit(True))
 
 

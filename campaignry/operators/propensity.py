@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from campaignry.functions import kpi as k
 from campaignry.plans.ordering import SortedRuns, after_keys, running_sums, tile_ends
-from campaignry.session import cut_lineage, scratch_path
+from campaignry.session import cut_lineage, local_frame, scratch_path
 from campaignry.tables import Tables
 
 # The model's input columns.
@@ -101,9 +101,9 @@ def _in_class_order(rows: DataFrame, seed: int) -> DataFrame:
     return rows.withColumn("_h", k.stable_hash(F.lit(seed), "interaction_id"))
 
 
-def _class_tiles(rows: DataFrame, ends) -> tuple[DataFrame, dict]:
+def _class_tiles(rows: DataFrame, ends) -> dict:
     """Cut keys of each class in hash order; ``ends(n)`` names the last rank of every part but one."""
-    hashed = rows.select(F.col("converted").alias("grp"), F.col("_h").cast("decimal(24,4)").alias("val"), "interaction_id")
+    hashed = rows.select(F.col("converted").alias("grp"), F.col("_h").alias("val"), "interaction_id")
     with SortedRuns(hashed, tie="interaction_id") as runs:
         want = {g: [r for r in ends(runs.size(g)) if r > 0] for g in runs.runs}
         found = runs.pick(want)
@@ -114,7 +114,7 @@ def _part(keys: dict):
     """How many cut keys of its own class a row lies behind."""
     out = F.lit(0)
     for g, ks in keys.items():
-        out = F.when(F.col("converted") == g, after_keys(F.col("_h"), F.col("interaction_id"), ks)).otherwise(out)
+        out = F.when(F.col("converted") == g, after_keys(F.col("_h"), F.col("interaction_id"), ks, "bigint")).otherwise(out)
     return out
 
 
@@ -391,7 +391,7 @@ def _importance(t: Tables) -> list[tuple]:
 
 
 def _ranked(t: Tables) -> DataFrame:
-    frame = t.spark.createDataFrame(_importance(t), "model string, feature string, importance double")
+    frame = local_frame(t.spark, _importance(t), "model string, feature string, importance double")
     order = Window.partitionBy("model").orderBy(F.desc("importance"), "feature")  # one row per feature
     return frame.withColumn("position", F.row_number().over(order))
 
@@ -472,4 +472,4 @@ def ml_save(t: Tables) -> DataFrame:
     paths = save_models(t, folder)
     again = PipelineModel.load(paths[0])
     n = again.transform(test_rows(t)).count()
-    return t.spark.createDataFrame([(p.rsplit("/", 1)[1], n) for p in paths], "artifact string, test_rows long")
+    return local_frame(t.spark, [(p.rsplit("/", 1)[1], n) for p in paths], "artifact string, test_rows long")

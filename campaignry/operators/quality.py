@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from campaignry import schema as S
 from campaignry.functions import kpi as k
 from campaignry.plans.ordering import SortedRuns
+from campaignry.session import local_frame
 from campaignry.tables import Tables
 
 
@@ -150,8 +151,7 @@ def judge(t: Tables, parts: list, checks=CHECKS) -> DataFrame:
             names = [c for c in one.columns if c in wanted]
             if names:
                 measured.append(_rows(one.select(*[F.col(f"`{c}`") for c in names])))
-    plan = t.spark.createDataFrame(
-        [(*c[:3], None if c[3] is None else float(c[3]), None if c[4] is None else float(c[4]), *c[5:]) for c in checks],
+    plan = local_frame(t.spark, [(*c[:3], None if c[3] is None else float(c[3]), None if c[4] is None else float(c[4]), *c[5:]) for c in checks],
         "name string, severity string, measure string, lo double, hi double, open_end boolean, expected string")
     joined = plan.join(_union(measured), "measure", "left").withColumn("_known", F.lit(True))
     a = F.col("actual")
@@ -419,7 +419,7 @@ def outliers(t: Tables) -> DataFrame:
     """
     frames = [
         t[table].select(F.explode(F.array(*[
-            F.struct(F.lit(f"{table}.{c}").alias("grp"), F.col(c).cast("decimal(24,4)").alias("val")) for c in cols
+            F.struct(F.lit(f"{table}.{c}").alias("grp"), F.col(c).cast("decimal(18,4)").alias("val")) for c in cols
         ])).alias("e")).select("e.grp", "e.val") for table, cols in OUTLIER_COLUMNS.items()]
     with SortedRuns(_union(frames).filter("val IS NOT NULL")) as runs:
         quart = {g: [float(v) for v in q] for g, q in runs.percentiles([0.25, 0.5, 0.75]).items()}
@@ -427,21 +427,18 @@ def outliers(t: Tables) -> DataFrame:
         first = {r["grp"]: r for r in runs.rows.groupBy("grp").agg(
             F.sum("_weight").alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"),
             (F.sum((F.col("val") * w).cast("decimal(38,4)")).cast("double") / F.sum("_weight")).alias("mean")).collect()}
-        base = t.spark.createDataFrame(
-            [(g, float(first[g]["mean"]), q[0] - 1.5 * (q[2] - q[0]), q[2] + 1.5 * (q[2] - q[0])) for g, q in quart.items()],
+        base = local_frame(t.spark, [(g, float(first[g]["mean"]), q[0] - 1.5 * (q[2] - q[0]), q[2] + 1.5 * (q[2] - q[0])) for g, q in quart.items()],
             "g string, mean double, fence_lo double, fence_hi double")
         per = runs.rows.join(F.broadcast(base), F.col("grp") == F.col("g"))  # one row per screened column
         second = {r["grp"]: r for r in per.groupBy("grp").agg(
             F.sum(w * (v - F.col("mean")) * (v - F.col("mean"))).alias("ss"),
             F.sum(F.when((v < F.col("fence_lo")) | (v > F.col("fence_hi")), w).otherwise(0)).alias("iqr")).collect()}
         std = {g: (second[g]["ss"] / (first[g]["n"] - 1)) ** 0.5 if first[g]["n"] > 1 else None for g in quart}
-        limits = t.spark.createDataFrame(
-            [(g, float(first[g]["mean"]), std[g]) for g in quart if std[g]], "g string, mean double, std double")
+        limits = local_frame(t.spark, [(g, float(first[g]["mean"]), std[g]) for g in quart if std[g]], "g string, mean double, std double")
         z = {r["grp"]: r["z"] for r in runs.rows.join(F.broadcast(limits), F.col("grp") == F.col("g")).groupBy("grp").agg(
             F.sum(F.when(F.abs((v - F.col("mean")) / F.col("std")) > 3, w).otherwise(0)).alias("z")).collect()}
     out = [(*g.split("."), first[g]["lo"], first[g]["hi"], first[g]["mean"], quart[g][1], std[g], int(second[g]["iqr"]),
             int(z.get(g, 0)), float(second[g]["iqr"]) / first[g]["n"] * 100) for g in quart]
-    frame = t.spark.createDataFrame(
-        out, "table_name string, column_name string, min double, max double, mean double, median double, std double, "
+    frame = local_frame(t.spark, out, "table_name string, column_name string, min double, max double, mean double, median double, std double, "
              "iqr_outliers long, z_outliers long, iqr_pct double")
     return frame.withColumns({c: F.round(c, 2) for c in ("min", "max", "mean", "median", "std", "iqr_pct")})

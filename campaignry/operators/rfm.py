@@ -9,7 +9,7 @@ from campaignry.functions import kpi as k
 from campaignry.operators.features import build_feature_matrix, quantile_bin
 from campaignry.plans.ordering import SortedRuns, after_keys, long_frame, percentiles, rank_cut_ends
 from campaignry.schema import SEGMENTS
-from campaignry.session import cut_lineage
+from campaignry.session import cut_lineage, local_frame
 from campaignry.tables import Tables
 
 # The labels, and the metrics of the profile and the radar.
@@ -85,15 +85,14 @@ def rfm_bank_mix(t: Tables) -> DataFrame:
 def rfm_profile(t: Tables) -> DataFrame:
     """Mean, exact median and count of six metrics per label."""
     pairs = F.array(*[F.struct(F.concat_ws("|", "rfm_segment", F.lit(m)).alias("grp"),
-                               F.col(m).cast("decimal(24,4)").alias("val")) for m in PROFILE])
+                               F.col(m).cast("decimal(18,4)").alias("val")) for m in PROFILE])
     rows = rfm_score_py(t).select(F.explode(pairs).alias("e")).select("e.grp", "e.val")
     with SortedRuns(rows) as runs:
         med = runs.percentiles([0.5])
         stats = runs.rows.groupBy("grp").agg(
             (F.sum((F.col("val") * F.col("_weight")).cast("decimal(38,4)")).cast("double") / F.sum("_weight")).alias("mean"),
             F.sum("_weight").alias("n")).collect()
-    return t.spark.createDataFrame(
-        [(*r["grp"].split("|"), r["mean"], float(med[r["grp"]][0]), r["n"]) for r in stats],
+    return local_frame(t.spark, [(*r["grp"].split("|"), r["mean"], float(med[r["grp"]][0]), r["n"]) for r in stats],
         "rfm_segment string, metric string, mean double, median double, n long",
     ).withColumns({"mean": F.round("mean", 4), "median": F.round("median", 4)})
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from campaignry.functions import kpi as k
 from campaignry.plans.ordering import SortedRuns, after_keys, long_frame, percentiles, tile_ends, tile_of
-from campaignry.session import cut_lineage
+from campaignry.session import cut_lineage, local_frame
 from campaignry.tables import Tables
 
 NEVER = 9999
@@ -32,28 +32,37 @@ def holding_summary(t: Tables) -> DataFrame:
     )
 
 
-def rfm_inputs(t: Tables) -> DataFrame:
-    """Per-customer aggregates of the three fact tables, co-partitioned on the customer."""
-    revenue = t.campaign_conversions.groupBy("customer_id").agg(
+def revenue_summary(t: Tables) -> DataFrame:
+    return t.campaign_conversions.groupBy("customer_id").agg(
         F.sum("revenue_attributed").alias("total_revenue"), F.count(F.lit(1)).alias("total_conversions"))
-    return interaction_summary(t).join(revenue, "customer_id", "full").join(holding_summary(t), "customer_id", "full")
+
+
+def rfm_inputs(t: Tables) -> DataFrame:
+    """Per-customer aggregates of the three fact tables side by side."""
+    return interaction_summary(t).join(revenue_summary(t), "customer_id", "full").join(
+        holding_summary(t), "customer_id", "full")
 
 
 def rfm_combine(t: Tables) -> DataFrame:
-    """Active customers with gaps filled: 9999 days if never touched, zeros elsewhere."""
+    """Active customers with gaps filled: 9999 days if never touched, zeros elsewhere.
+
+    The aggregates leave their shuffle partitioned by customer, so only the customer table moves
+    for the three joins.
+    """
     none = F.lit(0).cast("decimal(25,2)")
-    return (
-        t.customers.filter("is_active").join(rfm_inputs(t), "customer_id", "left").select(
-            "customer_id", "customer_code", "first_name", "last_name", "customer_segment", "region", "annual_income",
-            "credit_score", "acquisition_date", "is_dnc", "last_interaction_date",
-            F.coalesce(F.datediff(t.today, "last_interaction_date"), F.lit(NEVER)).alias("recency_days"),
-            k.zero("interactions_last_12m").alias("interactions_last_12m"),
-            k.zero("conversions_last_12m").alias("conversions_last_12m"), "total_interactions_all_time",
-            F.coalesce("total_revenue", none).alias("total_revenue_attributed"),
-            k.zero("total_conversions").alias("total_conversions"), k.zero("active_products").alias("active_products"),
-            k.zero("total_products_ever").alias("total_products_ever"),
-            F.coalesce("total_balance", none).alias("total_product_balance"),
-        )
+    rows = t.customers.filter("is_active")
+    for facts in (interaction_summary(t), revenue_summary(t), holding_summary(t)):
+        rows = rows.join(facts, "customer_id", "left")
+    return rows.select(
+        "customer_id", "customer_code", "first_name", "last_name", "customer_segment", "region", "annual_income",
+        "credit_score", "acquisition_date", "is_dnc", "last_interaction_date",
+        F.coalesce(F.datediff(t.today, "last_interaction_date"), F.lit(NEVER)).alias("recency_days"),
+        k.zero("interactions_last_12m").alias("interactions_last_12m"),
+        k.zero("conversions_last_12m").alias("conversions_last_12m"), "total_interactions_all_time",
+        F.coalesce("total_revenue", none).alias("total_revenue_attributed"),
+        k.zero("total_conversions").alias("total_conversions"), k.zero("active_products").alias("active_products"),
+        k.zero("total_products_ever").alias("total_products_ever"),
+        F.coalesce("total_balance", none).alias("total_product_balance"),
     )
 
 
@@ -137,15 +146,14 @@ def segment_percentiles(t: Tables) -> DataFrame:
     """Exact revenue percentiles of paying customers per segment, from one range sort."""
     rows = customer_segments(t).filter("total_revenue_attributed > 0")
     found = percentiles(rows, "total_revenue_attributed", [0.25, 0.5, 0.75, 0.9], group="customer_segment")
-    frame = t.spark.createDataFrame(
-        [(g, *v) for g, v in sorted(found.items())],
+    frame = local_frame(t.spark, [(g, *v) for g, v in sorted(found.items())],
         "customer_segment string, p25 double, p50 double, p75 double, p90 double")
     whole = lambda c: F.round(c.cast("decimal(24,6)"), 0)
     return frame.select(
         "customer_segment", whole(F.col("p25")).alias("p25_revenue"), whole(F.col("p50")).alias("median_revenue"),
         whole(F.col("p75")).alias("p75_revenue"), whole(F.col("p90")).alias("p90_revenue"),
         whole(F.col("p90") - F.col("p25")).alias("iqr_spread"),
-    )
+    ).orderBy(F.desc("median_revenue"))
 
 
 def multi_responders(t: Tables, min_campaigns: int = 3, top: int = 50) -> DataFrame:

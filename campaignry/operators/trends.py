@@ -92,7 +92,7 @@ def monthly_trends(t: Tables) -> DataFrame:
         "cvr_3m_avg": k.ratio(F.sum(cvr).over(last_3), F.count(cvr).over(last_3), 2),
         "rank_by_conversions_in_year": F.rank().over(in_year.orderBy(conv.desc())),
         "rank_by_revenue_in_year": F.rank().over(in_year.orderBy(rev.desc())),
-    })
+    }).orderBy("month_start")
 
 
 def cvr_trend(t: Tables) -> DataFrame:
@@ -106,7 +106,7 @@ def cvr_trend(t: Tables) -> DataFrame:
         F.round(mean, 2).alias("cvr_3m_rolling_avg"),
         F.round(cvr - F.lag(cvr, 1).over(time), 2).alias("cvr_mom_pp_change"),
         F.when(cvr >= mean, "Above Trend").otherwise("Below Trend").alias("trend_position"),
-    )
+    ).orderBy("month_start")
 
 
 def trend_qoq(t: Tables) -> DataFrame:

@@ -19,13 +19,13 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from campaignry.session import cut_lineage
+from campaignry.session import cut_lineage, local_frame
 
 _PID = "_pid"
 _W = "_weight"
 
 
-def long_frame(df: DataFrame, metrics: dict[str, Column], keep: list[str] = (), as_type: str = "decimal(24,4)") -> DataFrame:
+def long_frame(df: DataFrame, metrics: dict[str, Column], keep: list[str] = (), as_type: str = "decimal(18,4)") -> DataFrame:
     """One row per (metric, input row): columns ``grp``, ``val`` and the kept ones."""
     entries = F.array(*[
         F.struct(F.lit(name).alias("grp"), c.cast(as_type).alias("val")) for name, c in metrics.items()
@@ -87,7 +87,7 @@ class SortedRuns:
             return {}
         spark = self.rows.sparkSession
         kind = self.rows.schema["grp"].dataType.simpleString()
-        goals = spark.createDataFrame(targets, f"g {kind}, p int, local long, rank long")
+        goals = local_frame(spark, targets, f"g {kind}, p int, local long, rank long")
         in_run = Window.partitionBy(_PID, "grp").orderBy(*self.key).rowsBetween(Window.unboundedPreceding, 0)
         tie = F.col("tie") if "tie" in self.key else F.lit(None).cast("long").alias("tie")
         ranked = (
@@ -123,7 +123,7 @@ class SortedRuns:
 
 
 def percentiles(df: DataFrame, value: str, probs: list[float], group: str | None = None,
-                weight: str | None = None, as_type: str = "decimal(24,4)") -> dict[object, list[float]]:
+                weight: str | None = None, as_type: str = "decimal(18,4)") -> dict[object, list[float]]:
     """Exact percentiles of one column, optionally per group of a small coded column."""
     g = F.lit("all") if group is None else F.col(group)
     keep = [] if weight is None else [weight]
@@ -153,7 +153,7 @@ def rank_cut_ends(n: int, bins: int) -> list[int]:
     return [1 + ((n - 1) * j) // bins for j in range(1, bins)]
 
 
-def after_keys(value: Column, tie: Column, keys: list[tuple], value_type: str = "decimal(24,4)") -> Column:
+def after_keys(value: Column, tie: Column, keys: list[tuple], value_type: str = "decimal(18,4)") -> Column:
     """How many of the given (value, tie) keys lie strictly before the row's key."""
     out = F.lit(0)
     v = value.cast(value_type)

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def local_session(cores: str = "8", name: str = "campaignry") -> SparkSession:
@@ -19,6 +22,7 @@ def local_session(cores: str = "8", name: str = "campaignry") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "12g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # call-site capture per column
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -59,3 +63,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def local_frame(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A short driver-side list as a local relation, whose size Spark knows when it picks a join."""
+    schema = StructType.fromDDL(ddl)
+    fields = to_arrow_schema(schema)
+    columns = list(zip(*rows)) if rows else [[] for _ in schema]
+    table = pa.table([pa.array(c, type=f.type) for c, f in zip(columns, fields)], schema=fields)
+    return spark.createDataFrame(table, schema)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from campaignry.session import local_frame
 from campaignry.tables import Tables, if_small
 
 AS_OF = date(2001, 8, 2)
@@ -21,17 +23,27 @@ CHANNEL_ROWS = [
 ]
 
 
+# Declared types of the raw columns in use; no footer is read to infer them.
+RAW = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_extendedprice double, l_returnflag string, "
+                "l_shipdate timestamp_ntz",
+}
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(RAW[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def channels(spark: SparkSession) -> DataFrame:
-    raw = spark.createDataFrame(CHANNEL_ROWS, "channel_id int, channel_name string, ctr string, cvr string, cpa string")
-    return raw.selectExpr(
-        "channel_id", "channel_name", "concat(channel_name, ' channel') AS channel_description",
-        "CAST(ctr AS DECIMAL(5,2)) AS benchmark_ctr", "CAST(cvr AS DECIMAL(5,2)) AS benchmark_cvr",
-        "CAST(cpa AS DECIMAL(10,2)) AS benchmark_cpa", "TRUE AS is_active",
-    ).coalesce(1)
+    rows = [(i, n, f"{n} channel", Decimal(ctr), Decimal(cvr), Decimal(cpa), True) for i, n, ctr, cvr, cpa in CHANNEL_ROWS]
+    return local_frame(spark, rows, (
+        "channel_id int, channel_name string, channel_description string, benchmark_ctr decimal(5,2), "
+        "benchmark_cvr decimal(5,2), benchmark_cpa decimal(10,2), is_active boolean"))
 
 
 def products(part: DataFrame) -> DataFrame:
@@ -120,8 +132,7 @@ def holdings(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def star_tables(spark: SparkSession, folder: str) -> Tables:
-    names = ["region", "nation", "customer", "part", "orders", "lineitem"]
-    raw = {n: read_table(spark, folder, n) for n in names}
+    raw = {n: read_table(spark, folder, n) for n in RAW}
     camp, prod, inter = campaigns(raw["nation"]), products(raw["part"]), interactions(raw["orders"])
     campaign_product = if_small(
         camp.select("campaign_id", "product_id").join(prod.select("product_id", "revenue_value"), "product_id")

@@ -45,4 +45,10 @@ SQL = {
     "ml_split": q(f"SELECT interaction_id, converted, is_test, fold FROM fo", **DATA),
     "ml_overview": q(f"SELECT *, {pct('positives', 'n')} AS positive_pct FROM (" + " UNION ALL ".join([
         part("part", "CASE WHEN is_test THEN 'test' ELSE 'train' END"), part("segment", "customer_segment"), part("channel", "channel_name")]) + ")", **DATA),
+    "ml_prep": q(f"""SELECT interaction_id, converted, n / (2.0 * nc) AS weight, fold, n_features, round(s + b + x, 6) AS feature_sum FROM
+      (SELECT interaction_id, converted, fold, CAST(count(*) OVER () AS DOUBLE) AS n, count(*) OVER (PARTITION BY converted) AS nc,
+        (SELECT {' + '.join(f'count(DISTINCT {c}) - 1' for c in CATEGORICAL)} + {len(NUMERIC) + len(BINARY)} FROM fo WHERE NOT is_test) AS n_features,
+        {' + '.join(f'({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER ()' for c in NUMERIC)} AS s, {' + '.join(BINARY)} AS b,
+        {' + '.join(f'CASE WHEN {c} > (SELECT min({c}) FROM fo WHERE NOT is_test) THEN 1 ELSE 0 END' for c in CATEGORICAL)} AS x
+       FROM fo WHERE NOT is_test)""", **DATA),
 }
