@@ -64,24 +64,24 @@ def bronze_audit(t: Tables) -> DataFrame:
         F.count(F.lit(1)).alias("rows_loaded"), F.count("load_timestamp").alias("rows_stamped"))
 
 
-def _stored_rows(spark: SparkSession, path: str) -> int:
+def _stored_rows(spark: SparkSession, path: str, schema: T.StructType) -> int:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
         return 0
-    return spark.read.parquet(path).count()
+    return spark.read.schema(schema).parquet(path).count()  # a load of no rows leaves no file to infer from
 
 
 def load_table(df: DataFrame, table: str, folder: str) -> tuple:
     """Appends one table. Source and stored rows are counted apart, so a lost file shows up."""
     path, spark = f"{folder}/{table}", df.sparkSession
-    before, source = _stored_rows(spark, path), df.count()
+    before, source = _stored_rows(spark, path, df.schema), df.count()
     if table in MONTH_OF:
         month = F.date_format(F.col(MONTH_OF[table]), "yyyy-MM")
         placed = df.withColumn("load_month", month).repartitionByRange("load_month", df.columns[0])
         placed.write.mode("append").partitionBy("load_month").parquet(path)
     else:
         df.write.mode("append").parquet(path)
-    return table, before, source, _stored_rows(spark, path)
+    return table, before, source, _stored_rows(spark, path, df.schema)
 
 
 def load_all(t: Tables, folder: str) -> DataFrame:
@@ -114,7 +114,7 @@ def load_totals(t: Tables) -> DataFrame:
     """Stored rows per table and the grand total."""
     folder = _loaded(t)[0]
     counts = reduce(DataFrame.unionByName, [
-        t.spark.read.parquet(f"{folder}/{n}").agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("table_name"), "n")
+        t.spark.read.schema(t[n].schema).parquet(f"{folder}/{n}").agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("table_name"), "n")
         for n in S.LOAD_ORDER])
     return counts.rollup("table_name").agg(F.sum("n").alias("row_count")).select(
         F.coalesce("table_name", F.lit("TOTAL")).alias("table_name"), "row_count")
