@@ -50,19 +50,20 @@ def ml_held_categories(t: Tables) -> DataFrame:
 def raw_dataset(t: Tables) -> DataFrame:
     """Interaction grain with campaign and customer columns, before gaps are filled.
 
-    Everything known per customer is one frame, so the facts are shuffled once; a customer with a
-    large part of the facts is split by the adaptive skew join.
+    Everything known per customer is one frame, so the facts are shuffled once. The frame is cut
+    first: with a plain exchange on both sides, the adaptive skew join can split a customer who
+    holds a large part of the facts.
     """
     campaigns = t.campaign_dim().select(
         "campaign_id", "campaign_type", "product_category", "target_segment", "start_date",
         F.datediff("end_date", "start_date").alias("campaign_duration_days"),
         (F.col("total_budget").cast("double") / F.greatest("contacts_target", F.lit(1))).alias("budget_per_contact"),
         F.col("ab_test_enabled").cast("int").alias("ab_test_enabled"))
-    customers = t.customers.select(
+    customers = cut_lineage(t.customers.select(
         "customer_id", k.years_between(t.today, "date_of_birth").alias("age"),
         F.log1p(F.col("annual_income").cast("double")).alias("log_income"), "credit_score", "customer_segment",
         "employment_status", "number_of_products", "acquisition_date",
-    ).join(ml_customer_history(t), "customer_id", "left").join(ml_held_categories(t), "customer_id", "left")
+    ).join(ml_customer_history(t), "customer_id", "left").join(ml_held_categories(t), "customer_id", "left"))
     rows = (
         t.campaign_interactions.join(campaigns, "campaign_id", "left")
         .join(t.campaign_channels.select("channel_id", "channel_name"), "channel_id", "left")
@@ -93,23 +94,10 @@ def ml_impute(rows: DataFrame) -> DataFrame:
 
 def build_ml_dataset(t: Tables) -> DataFrame:
     if "ml" not in t._memo:
-        t._memo["ml"] = cut_lineage(ml_impute(cut_lineage(raw_dataset(t))))
+        t._memo["ml"] = ml_impute(cut_lineage(raw_dataset(t)))
     return t._memo["ml"]
 
 
-def _in_class_order(rows: DataFrame, seed: int) -> DataFrame:
-    return rows.withColumn("_h", k.stable_hash(F.lit(seed), "interaction_id"))
-
-
-def _class_tiles(rows: DataFrame, ends) -> dict:
-    """Cut keys of each class in hash order; ``ends(n)`` names the last rank of every part but one."""
-    hashed = rows.select(F.col("converted").alias("grp"), F.col("_h").alias("val"), "interaction_id")
-    with SortedRuns(hashed, tie="interaction_id") as runs:
-        want = {g: [r for r in ends(runs.size(g)) if r > 0] for g in runs.runs}
-        found = runs.pick(want)
-    return {g: [found[g, r] for r in rs] for g, rs in want.items()}
-
-
 def _part(keys: dict):
     """How many cut keys of its own class a row lies behind."""
     out = F.lit(0)
@@ -118,14 +106,26 @@ def _part(keys: dict):
     return out
 
 
-def ml_split(t: Tables, test_share: float = 0.2, seed: int = 42) -> DataFrame:
-    """Exact per-class split: in each class the first fifth in hash order is the test set."""
+def ml_split(t: Tables, test_share: float = 0.2, seed: int = 42, folds: int = 5) -> DataFrame:
+    """Exact per-class split: in each class the first fifth in hash order is the test set.
+
+    The rest of the same order is dealt into equal folds, so one range sort serves both.
+    """
     if "split" not in t._memo:
-        rows = _in_class_order(build_ml_dataset(t), seed)
-        keys = _class_tiles(rows, lambda n: [int(n * test_share + 0.5)])
-        marked = rows.withColumn("is_test", _part(keys) == 0)
-        folds = _class_tiles(marked.filter(~F.col("is_test")), lambda n: tile_ends(n, 5))
-        t._memo["split"] = cut_lineage(marked.withColumn("fold", F.when(~F.col("is_test"), _part(folds))).drop("_h"))
+        rows = build_ml_dataset(t).withColumn("_h", k.stable_hash(F.lit(seed), "interaction_id"))
+        hashed = rows.select(F.col("converted").alias("grp"), F.col("_h").alias("val"), "interaction_id")
+        with SortedRuns(hashed, tie="interaction_id") as runs:
+            want = {}
+            for g in runs.runs:
+                n = runs.size(g)
+                held = int(n * test_share + 0.5)
+                want[g] = [held] + [held + e for e in tile_ends(n - held, folds)]
+            found = runs.pick({g: [r for r in rs if r > 0] for g, rs in want.items()})
+        first = (-1, -1)  # before every hash: an empty part
+        part = _part({g: [found.get((g, r), first) for r in rs] for g, rs in want.items()})
+        marked = rows.withColumn("_part", part).withColumn("is_test", F.col("_part") == 0)
+        t._memo["split"] = cut_lineage(
+            marked.withColumn("fold", F.when(~F.col("is_test"), F.col("_part") - 1)).drop("_h", "_part"))
     return t._memo["split"]
 
 

@@ -91,7 +91,7 @@ def dnc_measures(t: Tables) -> DataFrame:
 def orphans(child: DataFrame, key: str, parent: DataFrame, name: str) -> DataFrame:
     """Rows whose key has no parent; the child is counted per key first, so a hot key is one row."""
     counted = child.groupBy(key).agg(_n("n"))
-    return counted.join(parent.select(key).distinct(), key, "left_anti").agg(
+    return counted.join(parent.select(key), key, "left_anti").agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias(name))
 
 

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from campaignry.functions import kpi as k
+from campaignry.functions import rules
 from campaignry.operators.features import build_feature_matrix, quantile_bin
-from campaignry.plans.ordering import SortedRuns, after_keys, long_frame, percentiles, rank_cut_ends
+from campaignry.plans.ordering import SortedRuns, after_keys, long_frame, rank_cut_ends
 from campaignry.schema import SEGMENTS
 from campaignry.session import cut_lineage, local_frame
 from campaignry.tables import Tables
@@ -23,44 +24,31 @@ RADAR = ["recency_days", "freq_12m", "total_revenue", "annual_income", "n_active
 def rfm_score_py(t: Tables) -> DataFrame:
     """R from recency quintiles, F from frequency rank fifths, M 0 or revenue rank quarter 1-4.
 
-    Rank ties follow the customer id. F and M cuts are the last keys of each rank range, found in
-    one range sort.
+    Rank ties follow the customer id. The quintile edges of R and the last keys of each rank range of
+    F and M come from one range sort.
     """
     if "rfm" in t._memo:
         return t._memo["rfm"]
     feat = build_feature_matrix(t)
-    edges = percentiles(feat, "recency_days", [0, 0.2, 0.4, 0.6, 0.8, 1])["all"]
-    metrics = {"f": F.col("freq_12m"), "m": F.when(F.col("total_revenue") > 0, F.col("total_revenue"))}
+    metrics = {"r": F.col("recency_days"), "f": F.col("freq_12m"),
+               "m": F.when(F.col("total_revenue") > 0, F.col("total_revenue"))}
     with SortedRuns(long_frame(feat, metrics, keep=["customer_id"]), tie="customer_id") as runs:
+        edges = [float(v) for v in runs.percentiles([0, 0.2, 0.4, 0.6, 0.8, 1], ["r"])["r"]]
         ends = {"f": rank_cut_ends(runs.size("f"), 5), "m": rank_cut_ends(runs.size("m"), 4)}
         keys = runs.pick(ends)
+        has_revenue = runs.size("m") > 0
     fifth = after_keys(metrics["f"], F.col("customer_id"), [keys["f", r] for r in ends["f"]])
-    quarter = after_keys(metrics["m"], F.col("customer_id"), [keys["m", r] for r in ends["m"]]) if runs.size("m") else F.lit(0)
+    quarter = after_keys(metrics["m"], F.col("customer_id"), [keys["m", r] for r in ends["m"]]) if has_revenue else F.lit(0)
     scored = feat.withColumns({
         "R": F.lit(5) - quantile_bin("recency_days", edges), "F": fifth + 1,
         "M": F.when(F.col("total_revenue") > 0, quarter + 1).otherwise(0)})
     scored = scored.withColumn("rfm_score", F.col("R") + F.col("F") + F.col("M"))
-    t._memo["rfm"] = cut_lineage(scored.withColumn("rfm_segment", label()).select(
+    t._memo["rfm"] = cut_lineage(scored.withColumn("rfm_segment", rules.first_match(
+        rules.ADDITIVE_LABELS, rules.ADDITIVE_OTHER, F.col("R"), F.col("F"), F.col("M"))).select(
         "customer_id", "R", "F", "M", "rfm_score", "rfm_segment", "customer_segment", *PROFILE))
     return t._memo["rfm"]
 
 
-def label():
-    r, f, m = F.col("R"), F.col("F"), F.col("M")
-    return (
-        F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions")
-        .when((r >= 3) & (f >= 4), "Loyal Customers")
-        .when((r >= 4) & (f <= 2), "New Customers")
-        .when((r >= 3) & (f >= 3), "Potential Loyalists")
-        .when((r <= 2) & (f >= 4) & (m >= 4), "Can't Lose Them")
-        .when((r <= 2) & (f >= 3), "At Risk")
-        .when((r >= 3) & (m >= 4), "High-Value Infrequent")
-        .when((r >= 4) & (m == 0), "New Customers")
-        .when((r <= 2) & (f <= 2) & (m <= 2), "Hibernating")
-        .otherwise("Needs Attention")
-    )
-
-
 def rfm_segment_stats(t: Tables) -> DataFrame:
     return rfm_score_py(t).groupBy("rfm_segment").agg(
         F.count(F.lit(1)).alias("customers"), F.sum(F.col("total_revenue").cast("decimal(25,2)")).alias("total_revenue"),

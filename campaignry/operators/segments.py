@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from campaignry.functions import kpi as k
+from campaignry.functions import rules
 from campaignry.plans.ordering import SortedRuns, after_keys, long_frame, percentiles, tile_ends, tile_of
 from campaignry.session import cut_lineage, local_frame
 from campaignry.tables import Tables
@@ -83,28 +84,6 @@ def quintiles(base: DataFrame, metrics: dict[str, Column], tiles: int = 5) -> di
     }
 
 
-def segment_label(r: Column, f: Column, m: Column) -> Column:
-    return (
-        F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions")
-        .when((r >= 3) & (f >= 3) & (m >= 3), "Loyal Customers")
-        .when((r >= 3) & (f >= 2), "Potential Loyalists")
-        .when((r >= 2) & (f >= 2), "At Risk")
-        .when((r == 5) & (f <= 1), "New Customers")
-        .otherwise("Lost")
-    )
-
-
-def recommendation(r: Column, f: Column, m: Column, dnc: Column) -> Column:
-    return (
-        F.when(dnc, "Excluded — DNC")
-        .when((r >= 4) & (f >= 4) & (m >= 4), "Priority: Upsell / Reward")
-        .when((r >= 3) & (f >= 3), "Include: Retention Campaign")
-        .when((r >= 3) & (f >= 2), "Include: Cross-Sell Campaign")
-        .when((r <= 2) & (f <= 2), "Include: Win-Back Campaign")
-        .otherwise("Monitor — No Action")
-    )
-
-
 def customer_segments(t: Tables) -> DataFrame:
     """RFM quintiles, label and targeting recommendation of every active customer.
 
@@ -119,8 +98,10 @@ def customer_segments(t: Tables) -> DataFrame:
     scored = base.withColumns({"r_score": F.lit(6) - tiles["r"], "f_score": tiles["f"], "m_score": tiles["m"]})
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     out = scored.withColumns({
-        "rfm_score": r * 100 + f * 10 + m, "rfm_segment": segment_label(r, f, m),
-        "targeting_recommendation": recommendation(r, f, m, F.col("is_dnc")),
+        "rfm_score": r * 100 + f * 10 + m,
+        "rfm_segment": rules.first_match(rules.QUINTILE_LABELS, rules.QUINTILE_OTHER, r, f, m),
+        "targeting_recommendation": F.when(F.col("is_dnc"), rules.ACTION_BANNED).otherwise(
+            rules.first_match(rules.ACTIONS, rules.ACTION_OTHER, r, f, m)),
     })
     t._memo["customer_segments"] = out
     return out

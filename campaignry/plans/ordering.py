@@ -101,10 +101,10 @@ class SortedRuns:
         ).select(ranked["grp"], "rank", "val", tie)
         return {(r["grp"], r["rank"]): (r["val"], r["tie"]) for r in hits.collect()}
 
-    def percentiles(self, probs: list[float]) -> dict[object, list]:
+    def percentiles(self, probs: list[float], groups=None) -> dict[object, list]:
         """Exact linearly interpolated percentiles per group."""
         spots = {}
-        for g in self.runs:
+        for g in self.runs if groups is None else groups:
             n = self.size(g)
             spots[g] = [Fraction(str(p)) * (n - 1) for p in probs]
         wanted = {g: [r for h in hs for r in (math.floor(h) + 1, math.ceil(h) + 1)] for g, hs in spots.items()}
