@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values of the KPI definitions.
@@ -112,6 +112,13 @@ def band(value, edges: list, labels: list[str]) -> Column:
     return out
 
 
+def value_of(one_row: DataFrame) -> Column:
+    """The value (or the struct of values) of a one-row aggregate, as an uncorrelated scalar subquery."""
+    if len(one_row.columns) == 1:
+        return one_row.toDF("value").scalar()
+    return one_row.select(F.struct(*one_row.columns)).scalar()
+
+
 def stable_hash(*parts) -> Column:
     """A 60-bit number from the text of the parts, the same on every engine and run."""
     text = F.concat_ws(":", *[col(p).cast("string") for p in parts])

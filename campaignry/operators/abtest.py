@@ -59,12 +59,12 @@ def ab_overall(t: Tables) -> DataFrame:
         "ab_variant", "contacts", "conversions", k.share("conversions", "contacts").alias("cvr"),
         F.coalesce("r", F.lit(0).cast("decimal(25,2)")).alias("revenue"))
     pick = lambda v: F.max(F.when(F.col("ab_variant") == v, F.col("cvr")))
-    best = rows.agg(pick("A").alias("a"), pick("B").alias("b"), F.lit(1).alias("_one"))  # a single row
-    return rows.withColumn("_one", F.lit(1)).join(F.broadcast(best), "_one").select(
+    best = k.value_of(rows.agg(pick("A").alias("a"), pick("B").alias("b")))
+    a, b = best["a"], best["b"]
+    return rows.select(
         "ab_variant", "contacts", "conversions", "cvr", "revenue",
-        ((F.col("b") - F.col("a")) / F.nullif(F.col("a"), F.lit(0.0)) * 100).alias("relative_uplift_pct"),
-        F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), F.when(F.col("b") > F.col("a"), "B").otherwise("A"))
-        .alias("winner"),
+        ((b - a) / F.nullif(a, F.lit(0.0)) * 100).alias("relative_uplift_pct"),
+        F.when(a.isNotNull() & b.isNotNull(), F.when(b > a, "B").otherwise("A")).alias("winner"),
     )
 
 
@@ -74,6 +74,5 @@ def ab_campaign_pivot(t: Tables) -> DataFrame:
     wide = arms.groupBy("campaign_id").pivot("ab_variant", ["A", "B"]).agg(F.max("cvr")).dropna(subset=["A", "B"])
     rows = wide.select("campaign_id", F.col("A").alias("cvr_a"), F.col("B").alias("cvr_b"),
                        (F.col("B") - F.col("A")).alias("uplift"))
-    wins = rows.agg(k.share(F.count_if(F.col("uplift") > 0), F.count(F.lit(1))).alias("b_wins_pct"),
-                    F.lit(1).alias("_one"))  # a single row
-    return rows.withColumn("_one", F.lit(1)).join(F.broadcast(wins), "_one").drop("_one")
+    wins = rows.agg(k.share(F.count_if(F.col("uplift") > 0), F.count(F.lit(1))))
+    return rows.withColumn("b_wins_pct", k.value_of(wins))

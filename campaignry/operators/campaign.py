@@ -105,13 +105,12 @@ def worst_cpa(t: Tables, worst: int = 5) -> DataFrame:
     rows = _completed(t).filter(F.col("total_conversions") > 0)
     order = [F.desc("cost_per_acquisition"), F.asc("campaign_code")]
     dear = rows.orderBy(*order).limit(worst).withColumn("_rn", F.row_number().over(Window.orderBy(*order)))
-    total = rows.agg(F.count(F.lit(1)).alias("_n"))  # a single row
-    dear = dear.withColumn("_one", F.lit(1)).join(F.broadcast(total.withColumn("_one", F.lit(1))), "_one")
+    total = k.value_of(rows.agg(F.count(F.lit(1))))
     return dear.select(
         "campaign_code", "campaign_name", "channel_name", "product_category", "total_budget", "total_conversions",
         "cost_per_acquisition", "channel_benchmark_cpa",
         F.round(F.col("cost_per_acquisition") - F.col("channel_benchmark_cpa"), 2).alias("excess_vs_benchmark"),
-        tile_of(F.col("_rn"), F.col("_n"), 4).alias("cpa_quartile"),
+        tile_of(F.col("_rn"), total, 4).alias("cpa_quartile"),
     )
 
 

@@ -21,18 +21,15 @@ def product_count(t: Tables) -> DataFrame:
 
 def allocate_contacts(t: Tables, total: int | None = None) -> DataFrame:
     """Contacts shared out by contacts_target; the rest goes to the campaign with the largest target."""
-    volume = (t.campaign_interactions.agg(F.count(F.lit(1)).alias("_total")) if total is None
-              else t.campaigns.limit(1).select(F.lit(total).cast("long").alias("_total")))
-    sums = t.campaigns.agg(
-        F.sum("contacts_target").alias("_sum"),
-        F.max(F.struct(F.col("contacts_target"), (-F.col("campaign_id")).alias("neg"))).alias("_big"))
-    one = F.lit(1).alias("_one")
-    facts = volume.select("*", one).join(F.broadcast(sums.select("*", one)), "_one")  # a single row
-    rows = t.campaigns.select("campaign_id", "target_segment", "contacts_target", one).join(F.broadcast(facts), "_one")
-    rows = rows.withColumn("share", F.expr("contacts_target * _total div _sum"))
-    given = rows.agg(F.sum("share").alias("_given"), one)
-    rows = rows.join(F.broadcast(given), "_one")
-    rest = F.when(-F.col("campaign_id") == F.col("_big.neg"), F.col("_total") - F.col("_given")).otherwise(0)
+    volume = F.lit(total).cast("long") if total is not None else k.value_of(t.campaign_interactions.agg(F.count(F.lit(1))))
+    top = k.value_of(t.campaigns.agg(
+        F.sum("contacts_target").alias("targets"),
+        F.max(F.struct(F.col("contacts_target"), (-F.col("campaign_id")).alias("neg"))).alias("largest")))
+    rows = t.campaigns.select("campaign_id", "target_segment", "contacts_target").withColumns(
+        {"_total": volume, "_targets": top["targets"], "_largest": -top["largest"]["neg"]}
+    ).withColumn("share", F.expr("contacts_target * _total div _targets"))
+    given = k.value_of(rows.agg(F.sum("share")))
+    rest = F.when(F.col("campaign_id") == F.col("_largest"), F.col("_total") - given).otherwise(0)
     return rows.select("campaign_id", "target_segment", "contacts_target", (F.col("share") + rest).alias("allocated"))
 
 
@@ -52,8 +49,8 @@ def target_audience(t: Tables, total: int | None = None, seed: int = 42) -> Data
     sizes = ordered.groupBy("pool").agg(F.count(F.lit(1)).alias("size"), F.min("pos").alias("first"))
     places = ordered.join(F.broadcast(sizes), "pool").select("pool", (F.col("pos") - F.col("first")).alias("place"), "customer_id")
 
-    every = sizes.filter("pool = 'All'").select(F.col("size").alias("all_size"), F.lit(1).alias("_one"))
-    wish = allocate_contacts(t, total).withColumn("_one", F.lit(1)).join(F.broadcast(every), "_one").join(
+    every = k.value_of(sizes.filter("pool = 'All'").select("size"))
+    wish = allocate_contacts(t, total).withColumn("all_size", every).join(
         F.broadcast(sizes.select(F.col("pool").alias("target_segment"), F.col("size").alias("seg_size"))), "target_segment", "left")
     enough = (F.col("target_segment") != "All") & (F.col("seg_size") >= F.col("allocated"))
     wish = wish.select(

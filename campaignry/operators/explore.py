@@ -35,7 +35,7 @@ def revenue_by_customer(t: Tables) -> DataFrame:
 def enrich_lookup(t: Tables) -> DataFrame:
     """Interactions with channel, segment and region names."""
     return (
-        t.campaign_interactions.join(t.campaign_channels.select("channel_id", "channel_name"), "channel_id", "left")
+        t.campaign_interactions.join(t.channel_dim().select("channel_id", "channel_name"), "channel_id", "left")
         .join(t.customers.select("customer_id", "customer_segment", "region"), "customer_id", "left")
         .select("interaction_id", "campaign_id", "customer_id", "channel_name", "customer_segment", "region")
     )
@@ -187,9 +187,8 @@ def cvr_by_type(t: Tables) -> DataFrame:
     rows = _done(t)
     by = rows.groupBy("campaign_type").agg(
         F.count("cvr").alias("n"), F.percentile("cvr", F.lit(0.5)).alias("median_cvr"),
-        F.percentile("cvr", F.lit(0.25)).alias("q1_cvr"), F.percentile("cvr", F.lit(0.75)).alias("q3_cvr"), F.lit(1).alias("_one"))
-    mean = rows.agg(F.avg("cvr").alias("overall_mean_cvr"), F.lit(1).alias("_one"))  # a single row
-    out = by.join(F.broadcast(mean), "_one").drop("_one")
+        F.percentile("cvr", F.lit(0.25)).alias("q1_cvr"), F.percentile("cvr", F.lit(0.75)).alias("q3_cvr"))
+    out = by.withColumn("overall_mean_cvr", k.value_of(rows.agg(F.avg("cvr"))))
     return out.withColumns({c: F.round(c, 6) for c in ("median_cvr", "q1_cvr", "q3_cvr", "overall_mean_cvr")})
 
 
@@ -219,7 +218,7 @@ def channel_stats(t: Tables) -> DataFrame:
     counts = outcome_counts(t.campaign_interactions, "channel_id")
     revenue = t.campaign_conversions.groupBy("channel_id").agg(F.sum("revenue_attributed").alias("revenue"))
     budget = t.campaigns.groupBy("channel_id").agg(F.sum("total_budget").alias("budget"))
-    rows = t.campaign_channels.select("channel_id", "channel_name").join(counts, "channel_id").join(
+    rows = t.channel_dim().select("channel_id", "channel_name").join(counts, "channel_id").join(
         revenue, "channel_id", "left").join(budget, "channel_id", "left")
     return rows.select(
         "channel_name", F.col("total_contacts").alias("contacts"), F.col("total_conversions").alias("conversions"),
@@ -241,9 +240,8 @@ def argbest_channel(t: Tables) -> DataFrame:
 def funnel_rows(t: Tables) -> DataFrame:
     seen = t.campaign_interactions.agg(
         F.count(F.lit(1)).alias("s1"), k.n_if(F.col("interaction_type").isin(k.ENGAGED_TYPES)).alias("s2"),
-        k.n_if(k.responded()).alias("s3"), k.n_if(k.outcome_is("Converted")).alias("s4"), F.lit(1).alias("_one"))
-    held = t.customer_products.agg(k.n_if(F.col("status") == "Active").alias("s5"), F.lit(1).alias("_one"))
-    row = seen.join(F.broadcast(held), "_one")  # two single rows
+        k.n_if(k.responded()).alias("s3"), k.n_if(k.outcome_is("Converted")).alias("s4"))
+    row = seen.withColumn("s5", k.value_of(t.customer_products.agg(k.n_if(F.col("status") == "Active"))))
     stages = ["1. Contacted", "2. Engaged", "3. Responded", "4. Converted", "5. Activated"]
     items = F.array(*[F.struct(
         F.lit(s).alias("stage"), F.col(f"s{i}").alias("n"), k.share(f"s{i}", "s1").alias("pct_of_contacts"),
@@ -319,22 +317,22 @@ def rfm_distributions(t: Tables) -> DataFrame:
 
 
 def exec_summary(t: Tables) -> DataFrame:
-    """One row of headline numbers; every part is a single row keyed by a constant."""
-    one = F.lit(1).alias("_one")
+    """One row of headline numbers: the conversion totals with the other totals beside them."""
     inter = t.campaign_interactions.groupBy("channel_id").agg(
         F.count(F.lit(1)).alias("contacts"), k.n_if(k.outcome_is("Converted")).alias("won"))
-    named = inter.join(t.campaign_channels.select("channel_id", "channel_name"), "channel_id", "left").withColumn(
+    named = inter.join(t.channel_dim().select("channel_id", "channel_name"), "channel_id", "left").withColumn(
         "cvr", k.share("won", "contacts"))
-    parts = [
-        t.customers.agg(F.count(F.lit(1)).alias("total_customers"), one),
-        t.campaigns.agg(F.count(F.lit(1)).alias("total_campaigns"), F.sum("total_budget").alias("total_budget"), one),
-        named.agg(F.sum("contacts").alias("total_contacts"), F.sum("won").alias("_won"),
-                  F.max_by("channel_name", "cvr").alias("top_cvr_channel"), one),
-        t.campaign_conversions.agg(F.count(F.lit(1)).alias("total_conversions"),
-                                   F.sum("revenue_attributed").alias("total_revenue"), one),
-        segment_revenue(t).agg(F.max_by("customer_segment", "revenue_m").alias("top_revenue_segment"), one),
-    ]
-    row = reduce(lambda a, b: a.join(F.broadcast(b), "_one"), parts)
+    seen = k.value_of(named.agg(F.sum("contacts").alias("contacts"), F.sum("won").alias("won"),
+                                F.max_by("channel_name", "cvr").alias("best")))
+    spent = k.value_of(t.campaigns.agg(F.count(F.lit(1)).alias("n"), F.sum("total_budget").alias("budget")))
+    row = t.campaign_conversions.agg(
+        F.count(F.lit(1)).alias("total_conversions"), F.sum("revenue_attributed").alias("total_revenue")
+    ).withColumns({
+        "total_customers": k.value_of(t.customers.agg(F.count(F.lit(1)))), "total_campaigns": spent["n"],
+        "total_budget": spent["budget"], "total_contacts": seen["contacts"], "_won": seen["won"],
+        "top_cvr_channel": seen["best"],
+        "top_revenue_segment": k.value_of(segment_revenue(t).agg(F.max_by("customer_segment", "revenue_m"))),
+    })
     return row.select(
         "total_customers", "total_campaigns", "total_contacts", "total_conversions",
         k.share("_won", "total_contacts").alias("overall_cvr"), "total_revenue", "total_budget",
@@ -346,7 +344,7 @@ def cvr_summary(t: Tables) -> DataFrame:
     """CVR by channel and by segment in one list."""
     chan = t.campaign_interactions.groupBy("channel_id").agg(
         F.count(F.lit(1)).alias("contacts"), k.n_if(k.outcome_is("Converted")).alias("conversions")).join(
-        t.campaign_channels.select("channel_id", "channel_name"), "channel_id")
+        t.channel_dim().select("channel_id", "channel_name"), "channel_id")
     a = chan.select(F.lit("channel").alias("dimension"), F.col("channel_name").alias("value"), "contacts", "conversions")
     b = segment_cvr(t).select(F.lit("segment").alias("dimension"), F.col("customer_segment").alias("value"),
                               "contacts", "conversions")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from campaignry import schema as S
+from campaignry.functions import kpi as k
 from campaignry.operators import abtest, campaign, channel, revenue, segments, trends
 from campaignry.operators.segments import customer_segments
 from campaignry.session import local_frame, scratch_path
@@ -143,10 +144,9 @@ def product_seed(spark: SparkSession) -> DataFrame:
 def upsert_seed(existing: DataFrame, seed: DataFrame, key: str, id_column: str) -> DataFrame:
     """Existing rows plus the seed rows whose business key is new, numbered after the highest id."""
     fresh = seed.join(existing.select(key), key, "left_anti")
-    top = existing.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("long").alias("_top"), F.lit(1).alias("_one"))  # a single row
-    numbered = fresh.withColumns({
-        "_rn": F.row_number().over(Window.orderBy(key)), "_one": F.lit(1),  # the seed is a short fixed list
-    }).join(F.broadcast(top), "_one").withColumn(id_column, F.col("_top") + F.col("_rn")).drop("_rn", "_one", "_top")
+    top = k.value_of(existing.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("long")))
+    # The window runs over the seed, a short fixed list.
+    numbered = fresh.withColumn(id_column, top + F.row_number().over(Window.orderBy(key)))
     return existing.withColumn(id_column, F.col(id_column).cast("long")).unionByName(numbered, allowMissingColumns=True)
 
 
@@ -176,12 +176,12 @@ def touch(df: DataFrame, changed) -> DataFrame:
 
 
 def default_columns(t: Tables) -> DataFrame:
-    """Customers that arrive without segment, product count or flags."""
+    """Customers whose segment, product count or activity is unknown where income, gender or employment is."""
+    known = lambda value, by: F.when(F.col(by).isNotNull(), F.col(value)).alias(value)
     arrived = t.customers.select(
-        "customer_id", F.when(F.col("customer_id") % 10 != 0, F.col("customer_segment")).alias("customer_segment"),
-        F.when(F.col("customer_id") % 7 != 0, F.col("number_of_products")).alias("number_of_products"),
-        F.when(F.col("customer_id") % 5 != 0, F.col("is_active")).alias("is_active"))
-    done = touch(with_defaults(arrived, "customers"), F.col("customer_id") % 2 == 0)
+        "customer_id", "annual_income", known("customer_segment", "annual_income"),
+        known("number_of_products", "gender"), known("is_active", "employment_status"))
+    done = touch(with_defaults(arrived, "customers"), F.col("annual_income").isNull())
     return done.select("customer_id", "customer_segment", "number_of_products", "is_active", "is_dnc",
                        F.col("created_at").isNotNull().alias("stamped"), (F.col("updated_at") >= F.col("created_at")).alias("touched"))
 

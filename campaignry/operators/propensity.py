@@ -66,7 +66,7 @@ def raw_dataset(t: Tables) -> DataFrame:
     ).join(ml_customer_history(t), "customer_id", "left").join(ml_held_categories(t), "customer_id", "left"))
     rows = (
         t.campaign_interactions.join(campaigns, "campaign_id", "left")
-        .join(t.campaign_channels.select("channel_id", "channel_name"), "channel_id", "left")
+        .join(t.channel_dim().select("channel_id", "channel_name"), "channel_id", "left")
         .join(customers, "customer_id", "left")
     )
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("int")

@@ -233,7 +233,7 @@ def dist_cvr_channel(t: Tables) -> DataFrame:
     c = t.campaign_conversions.select("interaction_id", "conversion_id")
     by = t.campaign_interactions.select("interaction_id", "channel_id").join(c, "interaction_id", "left").groupBy(
         "channel_id").agg(F.count("interaction_id").alias("total_contacts"), F.count("conversion_id").alias("conversions"))
-    return by.join(t.campaign_channels.select("channel_id", "channel_name"), "channel_id").select(
+    return by.join(t.channel_dim().select("channel_id", "channel_name"), "channel_id").select(
         "channel_name", "total_contacts", "conversions", k.pct("conversions", "total_contacts", 1).alias("conversion_rate_pct"))
 
 

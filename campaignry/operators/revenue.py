@@ -68,9 +68,9 @@ def revenue_roi(t: Tables) -> DataFrame:
     camp = t.campaign_dim().select(
         "campaign_id", "campaign_code", "campaign_name", "campaign_type", F.col("total_budget").alias("campaign_budget"),
         F.col("start_date").alias("campaign_start_date"), F.col("end_date").alias("campaign_end_date"))
-    prod = t.products.select("product_id", "product_name", "product_category",
+    prod = t.product_dim().select("product_id", "product_name", "product_category",
                              F.col("revenue_value").alias("product_standard_revenue"))
-    chan = t.campaign_channels.select("channel_id", "channel_name", "benchmark_cpa")
+    chan = t.channel_dim().select("channel_id", "channel_name", "benchmark_cpa")
     cust = t.customers.select("customer_id", "customer_segment", "region",
                               F.col("annual_income").alias("customer_annual_income"),
                               F.col("credit_score").alias("customer_credit_score"))
@@ -98,7 +98,7 @@ def running_revenue(t: Tables) -> DataFrame:
     names = t.campaign_dim().select("campaign_id", "campaign_name")
     rows = (
         day.join(names, "campaign_id").join(t.product_category(), "product_id")
-        .join(t.campaign_channels.select("channel_id", "channel_name"), "channel_id")
+        .join(t.channel_dim().select("channel_id", "channel_name"), "channel_id")
         .groupBy("campaign_id", "campaign_name", "product_category", "channel_name", "conversion_date")
         .agg(F.sum("campaign_revenue").cast("decimal(25,2)").alias("campaign_revenue"))
     )
@@ -106,13 +106,12 @@ def running_revenue(t: Tables) -> DataFrame:
     by_day = running_sums(rows, [F.col(c) for c in unique], {"running_total_revenue": "campaign_revenue"})
     by_size = running_sums(by_day, [F.desc("campaign_revenue"), *[F.col(c) for c in unique]],
                            {"_cumulative": "campaign_revenue"})
-    total = by_size.agg(F.sum("campaign_revenue").alias("_total"), F.lit(1).alias("_one"))  # a single row
-    out = by_size.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")
-    return out.select(
+    total = k.value_of(by_size.agg(F.sum("campaign_revenue")))
+    return by_size.select(
         "campaign_id", "campaign_name", "product_category", "channel_name", "conversion_date", "campaign_revenue",
         "running_total_revenue",
-        k.ratio(F.col("campaign_revenue") * 100, "_total", 2).alias("pct_of_total_revenue"),
-        k.ratio(F.col("_cumulative") * 100, "_total", 2).alias("cumulative_pct_revenue"),
+        k.ratio(F.col("campaign_revenue") * 100, total, 2).alias("pct_of_total_revenue"),
+        k.ratio(F.col("_cumulative") * 100, total, 2).alias("cumulative_pct_revenue"),
     )
 
 

@@ -113,13 +113,13 @@ def top_customers(t: Tables, top: int = 20) -> DataFrame:
     order = [F.desc_nulls_last("total_revenue_attributed"), F.asc("customer_id")]
     best = rows.orderBy(*order).limit(top).withColumns({
         "revenue_rank": F.rank().over(Window.orderBy(F.desc("total_revenue_attributed"))),
-        "_rn": F.row_number().over(Window.orderBy(*order)), "_one": F.lit(1),
+        "_rn": F.row_number().over(Window.orderBy(*order)),
     })
-    total = rows.agg(F.count(F.lit(1)).alias("_n"), F.lit(1).alias("_one"))  # a single row
-    return best.join(F.broadcast(total), "_one").select(
+    total = k.value_of(rows.agg(F.count(F.lit(1))))
+    return best.select(
         "customer_code", F.concat_ws(" ", "first_name", "last_name").alias("customer_name"), "customer_segment",
         "region", "annual_income", "total_revenue_attributed", "total_conversions", "active_products", "rfm_segment",
-        "revenue_rank", tile_of(F.col("_rn"), F.col("_n"), 10).alias("revenue_decile"),
+        "revenue_rank", tile_of(F.col("_rn"), total, 10).alias("revenue_decile"),
     )
 
 

@@ -1,4 +1,4 @@
-"""The seven tables an operator works on, and the size-checked small dimension."""
+"""The seven tables an operator works on, and the size-checked dimensions."""
 
 from __future__ import annotations
 
@@ -27,7 +27,8 @@ class Tables:
     customer_products: DataFrame
     as_of: date
     folder: str | None = None
-    _memo: dict = field(default_factory=dict, repr=False)
+    _memo: dict = field(default_factory=dict, repr=False)  # views, features and models computed so far
+    _dims: dict = field(default_factory=dict, repr=False)  # dimensions whose size has been checked
 
     @property
     def spark(self):
@@ -41,17 +42,23 @@ class Tables:
     def __getitem__(self, name: str) -> DataFrame:
         return getattr(self, name)
 
-    def campaign_dim(self) -> DataFrame:
-        """Campaign with its product and channel, broadcast when the size check allows."""
-        if "campaign_dim" not in self._memo:
-            dim = self.campaigns.join(
-                self.products.select("product_id", "product_name", "product_category", "revenue_value"), "product_id"
-            ).join(self.campaign_channels.select(
-                "channel_id", "channel_name", "benchmark_ctr", "benchmark_cvr", "benchmark_cpa"), "channel_id")
-            self._memo["campaign_dim"] = if_small(dim)
-        return self._memo["campaign_dim"]
+    def _dim(self, name: str, build) -> DataFrame:
+        if name not in self._dims:
+            self._dims[name] = if_small(build())
+        return self._dims[name]
+
+    def channel_dim(self) -> DataFrame:
+        return self._dim("channel", lambda: self.campaign_channels.select(
+            "channel_id", "channel_name", "benchmark_ctr", "benchmark_cvr", "benchmark_cpa"))
+
+    def product_dim(self) -> DataFrame:
+        return self._dim("product", lambda: self.products.select(
+            "product_id", "product_name", "product_category", "revenue_value"))
 
     def product_category(self) -> DataFrame:
-        if "product_category" not in self._memo:
-            self._memo["product_category"] = if_small(self.products.select("product_id", "product_category"))
-        return self._memo["product_category"]
+        return self.product_dim().select("product_id", "product_category")
+
+    def campaign_dim(self) -> DataFrame:
+        """Campaign with its product and channel."""
+        return self._dim("campaign", lambda: self.campaigns.join(self.product_dim(), "product_id").join(
+            self.channel_dim(), "channel_id"))

@@ -143,8 +143,8 @@ SQL = {
     "upsert_seed": q("""SELECT product_id, product_code, product_name, product_category, CAST(revenue_value AS DOUBLE) AS revenue_value, min_eligibility_age, is_active FROM products
       UNION ALL SELECT (SELECT max(product_id) FROM products) + row_number() OVER (ORDER BY c), c, n, g, CAST(v AS DOUBLE), a, TRUE FROM (VALUES """
       + ", ".join(f"('{c}', '{n}', '{g}', {v}, {a})" for c, n, g, v, a in SEED) + ") AS s(c, n, g, v, a) WHERE c NOT IN (SELECT product_code FROM products)"),
-    "default_columns": q("""SELECT customer_id, CASE WHEN customer_id % 10 <> 0 THEN customer_segment ELSE 'Mass Market' END AS customer_segment,
-      CASE WHEN customer_id % 7 <> 0 THEN number_of_products ELSE 0 END AS number_of_products, CASE WHEN customer_id % 5 <> 0 THEN is_active ELSE TRUE END AS is_active,
+    "default_columns": q("""SELECT customer_id, CASE WHEN annual_income IS NOT NULL THEN customer_segment ELSE 'Mass Market' END AS customer_segment,
+      CASE WHEN gender IS NOT NULL THEN number_of_products ELSE 0 END AS number_of_products, CASE WHEN employment_status IS NOT NULL THEN is_active ELSE TRUE END AS is_active,
       FALSE AS is_dnc, TRUE AS stamped, TRUE AS touched FROM customers"""),
     "gold_views": q("""SELECT 'vw_campaign_performance' AS view_name, (SELECT count(*) FROM campaigns) AS row_count UNION ALL SELECT 'vw_channel_analysis', 5
       UNION ALL SELECT 'vw_customer_segments', (SELECT count(*) FROM customers WHERE is_active) UNION ALL SELECT 'vw_revenue_roi', (SELECT count(*) FROM campaign_conversions)

@@ -34,7 +34,7 @@ def test_full_run_reports_all_checks_and_missing_columns_fail(make):
     assert len(got) == 25 and got["Row count: channels = 5"]["status"] == "FAIL"
     assert got["WARN: overall conversion rate between 5% and 40%"]["status"] == "WARN"
     assert got["No NULL region"]["status"] == "PASS"
-    broken = rows_by(quality.dq_run(replace(t, customers=t.customers.drop("region"), _memo={})), "name")
+    broken = rows_by(quality.dq_run(replace(t, customers=t.customers.drop("region"), _memo={}, _dims={})), "name")
     assert broken["No NULL region"]["status"] == "FAIL" and broken["No NULL region"]["actual"] is None
 
 
