@@ -54,14 +54,27 @@ def recency(t: Tables) -> DataFrame:
 
 
 def _touches(t: Tables) -> DataFrame:
-    """Interactions per (customer, campaign, channel): all later distinct counts start from here."""
-    return t.campaign_interactions.groupBy("customer_id", "campaign_id", "channel_id").agg(
+    """Interactions per (customer, campaign): a count of these rows is a distinct count of campaigns."""
+    return t.campaign_interactions.groupBy("customer_id", "campaign_id").agg(
         F.count(F.lit(1)).alias("n"), k.n_if(F.col("interaction_date") >= F.date_sub(t.today, 365)).alias("n12"),
         k.n_if(k.responded()).alias("answered"), k.n_if(k.outcome_is("Opted Out")).alias("out"),
         F.min("interaction_date").alias("lo"), F.max("interaction_date").alias("hi"), F.count("ab_variant").alias("ab"),
     )
 
 
+def _channels_used(t: Tables) -> DataFrame:
+    pairs = t.campaign_interactions.select("customer_id", "channel_id").distinct()
+    return pairs.groupBy("customer_id").agg(F.count("channel_id").alias("channels_used"))
+
+
+def _engagement_columns() -> list:
+    return [
+        F.count("campaign_id").alias("campaigns_touched"),
+        F.max(F.when(F.col("ab") > 0, 1).otherwise(0)).alias("ab_participant_flag"),
+        F.datediff(F.max("hi"), F.min("lo")).alias("interaction_span_days"),
+    ]
+
+
 def _frequency_columns(total, recent, answered, out) -> dict:
     return {
         "total_interactions": total, "freq_12m": recent, "responded_count": answered, "optout_count": out,
@@ -79,22 +92,18 @@ def frequency(t: Tables) -> DataFrame:
 
 
 def engagement(t: Tables) -> DataFrame:
-    return _touches(t).groupBy("customer_id").agg(
-        F.count_distinct("channel_id").alias("channels_used"), F.count_distinct("campaign_id").alias("campaigns_touched"),
-        F.max(F.when(F.col("ab") > 0, 1).otherwise(0)).alias("ab_participant_flag"),
-        F.datediff(F.max("hi"), F.min("lo")).alias("interaction_span_days"))
+    return _touches(t).groupBy("customer_id").agg(*_engagement_columns()).join(_channels_used(t), "customer_id")
 
 
 def interaction_features(t: Tables) -> DataFrame:
-    """Recency, frequency and engagement from one pass over the interactions."""
+    """Recency, frequency and engagement; both distinct counts work on pairs, so no row is multiplied."""
     by = _touches(t).groupBy("customer_id").agg(
         F.sum("n").alias("n"), F.sum("n12").alias("n12"), F.sum("answered").alias("answered"), F.sum("out").alias("out"),
-        F.datediff(t.today, F.max("hi")).alias("recency_days"), F.datediff(F.max("hi"), F.min("lo")).alias("interaction_span_days"),
-        F.count_distinct("channel_id").alias("channels_used"), F.count_distinct("campaign_id").alias("campaigns_touched"),
-        F.max(F.when(F.col("ab") > 0, 1).otherwise(0)).alias("ab_participant_flag"))
+        F.datediff(t.today, F.max("hi")).alias("recency_days"), *_engagement_columns())
     cols = _frequency_columns(*[F.col(c) for c in ("n", "n12", "answered", "out")])
-    return by.select("customer_id", "recency_days", *[c.alias(n) for n, c in cols.items()], "channels_used",
-                     "campaigns_touched", "ab_participant_flag", "interaction_span_days")
+    return by.join(_channels_used(t), "customer_id").select(
+        "customer_id", "recency_days", *[c.alias(n) for n, c in cols.items()], "channels_used", "campaigns_touched",
+        "ab_participant_flag", "interaction_span_days")
 
 
 def monetary(t: Tables) -> DataFrame:
