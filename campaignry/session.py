@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import pyarrow as pa
@@ -34,8 +33,8 @@ def local_session(cores: str = "8", name: str = "campaignry") -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder: on a cluster a machine-local
-    path would be lost with its executor, so a missing setting is an error there.
+    Where the setting is missing, a folder below the warehouse takes its place: the warehouse is on
+    storage that every executor reaches, which a machine-local temporary folder is not.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
@@ -44,9 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    if not sc.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="campaignry-")
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     sc.setCheckpointDir(folder)
     return folder
 
