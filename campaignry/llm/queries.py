@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from campaignry.llm import exact, mixing, warc
+from campaignry.llm import exact, jaccard, mixing, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,12 +21,16 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, folder, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, folder, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = [op1_warc, op2_mixing, op5_exact_dedup]
+    ops = [op1_warc, op2_mixing, op4_jaccard_join, op5_exact_dedup]
     return {op.__name__: op for op in ops}
 
 
