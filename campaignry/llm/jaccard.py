@@ -6,7 +6,8 @@ puts shingles of crowded hash buckets last; the bucket counts cover all document
 bounds the one broadcast. Nodes meet in tiles of a prefix shingle:
 
 1. Inside a tile and size band, every node is held against the band's first node and its neighbour by size, which is
-   linear in the tile. The links found are contracted to components.
+   linear in the tile. The links found are contracted to components. Where a tile still holds several, one node drawn
+   by hash is held against the others, which is linear again and offers a node as many partners as it has tiles.
 2. Tiles that still hold several components compare all pairs across components, in blocks of bounded size, without
    writing the pairs out: a bit count of the hashed bitmap signatures bounds the overlap from above.
 
@@ -39,7 +40,7 @@ class JoinPlan:
     buckets: int = 1 << 18  # counters of the shingle order
     block: int = 1024  # nodes of one side of a tile block
     members: int = 2048  # sets per task group while pairs are decided
-    max_signature_bits: int = 1 << 13
+    max_signature_bits: int = 1 << 15
 
     def prefix(self, n: int) -> int:
         return n - -(-self.percent * n // 100) + 1
@@ -76,7 +77,7 @@ def node_of(shingles: np.ndarray) -> int:
 
 
 def signature_bits(n: int, most: int) -> int:
-    return min(max(128, 1 << (2 * n - 1).bit_length()), most)
+    return min(max(128, 1 << (8 * n - 1).bit_length()), most)
 
 
 def signature(shingles: np.ndarray, most: int) -> np.ndarray:
@@ -273,6 +274,14 @@ def _star_pairs(met: DataFrame, plan: JoinPlan) -> DataFrame:
     return pairs.filter(_size_ok(plan, F.col("n"), F.col("o.n"))).select(*_ordered("node", "o.node")).distinct()
 
 
+def _drawn_pairs(open_rows: DataFrame, plan: JoinPlan) -> DataFrame:
+    """Per tile one node drawn by hash with those of other components: each tile of a node offers another partner."""
+    by_key = Window.partitionBy("key")
+    drawn = F.min(F.struct(F.xxhash64("key", "node").alias("h"), "n", "node", "comp")).over(by_key)
+    pairs = open_rows.withColumn("o", drawn).filter("o.comp != comp")
+    return pairs.filter(_size_ok(plan, F.col("n"), F.col("o.n"))).select(*_ordered("node", "o.node")).distinct()
+
+
 def _across(plan: JoinPlan):
     """All pairs of one tile block that lie in different components and pass size and bit count."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -316,12 +325,17 @@ def _across(plan: JoinPlan):
     return run
 
 
-def _cross_pairs(met: DataFrame, comps: DataFrame, nodes: DataFrame, plan: JoinPlan) -> DataFrame:
-    """Pairs of different components that share a tile, after the bit count."""
+def _open_rows(met: DataFrame, comps: DataFrame) -> DataFrame:
+    """Rows of the tiles that hold several components and more than two nodes: two neighbours have been decided."""
     rows = met.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-    mixed_tiles = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"))
-    mixed_tiles = cut_lineage(mixed_tiles.filter("lo != hi").select("key", "m"))
-    rows = rows.join(mixed_tiles, "key").join(nodes.select("node", "signature"), "node")
+    tiles = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"))
+    tiles = cut_lineage(tiles.filter("lo != hi AND m > 2").select("key", "m"))
+    return cut_lineage(rows.join(tiles, "key"))
+
+
+def _cross_pairs(open_rows: DataFrame, nodes: DataFrame, plan: JoinPlan) -> DataFrame:
+    """Pairs of different components that share a tile, after the bit count."""
+    rows = open_rows.join(nodes.select("node", "signature"), "node")
     blocks = F.ceil(F.col("m") / plan.block).cast("int")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), blocks).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
@@ -353,10 +367,14 @@ def near_duplicates(docs: DataFrame, plan: JoinPlan = JoinPlan()) -> DataFrame:
     tried = _screened(_star_pairs(met, plan), nodes, plan)
     first = links(tried, texts, with_id, plan)
     comps = cut_lineage(components(first))
-    more = _cross_pairs(met, comps, nodes, plan).join(tried, ["a", "b"], "left_anti")
-    second = links(cut_lineage(more), texts, with_id, plan)
-    if not second.isEmpty():
-        comps = cut_lineage(components(comps.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(second)))
+    open_rows = _open_rows(met, comps)
+    for pairs in (lambda: _screened(_drawn_pairs(open_rows, plan), nodes, plan), lambda: _cross_pairs(open_rows, nodes, plan)):
+        more = cut_lineage(pairs().join(tried, ["a", "b"], "left_anti"))
+        found = links(more, texts, with_id, plan)
+        if not found.isEmpty():
+            comps = cut_lineage(components(comps.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(found)))
+            open_rows = _open_rows(open_rows.drop("comp", "m"), comps)
+        tried = tried.unionAll(more)
 
     named = nodes.select("node", "doc_id").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = cut_lineage(named.groupBy("component").agg(F.min("doc_id").alias("component_id")))
