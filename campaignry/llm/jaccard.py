@@ -5,9 +5,8 @@ shingle within the first n - ceil(t n) + 1 of either in any common order, so onl
 puts shingles of crowded hash buckets last; the bucket counts cover all documents and have a fixed size, which is what
 bounds the one broadcast. Nodes meet in tiles of a prefix shingle:
 
-1. Inside a tile and size band, every node is held against the band's first node and its neighbour by size, which is
-   linear in the tile. The links found are contracted to components. Where a tile still holds several, one node drawn
-   by hash is held against the others, which is linear again and offers a node as many partners as it has tiles.
+1. Inside a tile, every node is held against the first node of its size band, its neighbour by size and one node drawn
+   by hash, which is linear in the tile. The links found are contracted to components.
 2. Tiles that still hold several components compare all pairs across components, in blocks of bounded size, without
    writing the pairs out: a bit count of the hashed bitmap signatures bounds the overlap from above.
 
@@ -265,20 +264,18 @@ def _screened(pairs: DataFrame, nodes: DataFrame, plan: JoinPlan) -> DataFrame:
 
 
 def _star_pairs(met: DataFrame, plan: JoinPlan) -> DataFrame:
-    """Per tile and size band the first node with each other one, and neighbours by size: linear in the tile."""
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / plan.percent)))
-    rows = met.withColumn("band", band)
-    rows = rows.withColumn("lead", F.min(F.struct("n", "node")).over(Window.partitionBy("key", "band")))
-    rows = rows.withColumn("prior", F.lag(F.struct("n", "node")).over(Window.partitionBy("key").orderBy("n", "node")))
-    pairs = rows.select("n", "node", F.explode(F.array("lead", "prior")).alias("o")).filter("o.node != node")
-    return pairs.filter(_size_ok(plan, F.col("n"), F.col("o.n"))).select(*_ordered("node", "o.node")).distinct()
-
+    """Linear in a tile: each node with the first of its size band, with its neighbour by size and with a drawn node.
 
-def _drawn_pairs(open_rows: DataFrame, plan: JoinPlan) -> DataFrame:
-    """Per tile one node drawn by hash with those of other components: each tile of a node offers another partner."""
-    by_key = Window.partitionBy("key")
-    drawn = F.min(F.struct(F.xxhash64("key", "node").alias("h"), "n", "node", "comp")).over(by_key)
-    pairs = open_rows.withColumn("o", drawn).filter("o.comp != comp")
+    The first node is the same in most tiles of a group, so it decides most of the group at the cost of one pair a
+    node; the drawn one differs from tile to tile and offers as many partners as the node has tiles.
+    """
+    one = F.struct("n", "node")
+    rows = met.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / plan.percent))))
+    rows = rows.withColumn("lead", F.min(one).over(Window.partitionBy("key", "band")))
+    rows = rows.withColumn("prior", F.lag(one).over(Window.partitionBy("key").orderBy("n", "node")))
+    rows = rows.withColumn("drawn", F.min(F.struct(F.xxhash64("key", "node").alias("h"), "n", "node")).over(Window.partitionBy("key")))
+    partners = F.array("lead", "prior", F.struct("drawn.n", "drawn.node"))
+    pairs = rows.select("n", "node", F.explode(partners).alias("o")).filter("o.node != node")
     return pairs.filter(_size_ok(plan, F.col("n"), F.col("o.n"))).select(*_ordered("node", "o.node")).distinct()
 
 
@@ -367,14 +364,10 @@ def near_duplicates(docs: DataFrame, plan: JoinPlan = JoinPlan()) -> DataFrame:
     tried = _screened(_star_pairs(met, plan), nodes, plan)
     first = links(tried, texts, with_id, plan)
     comps = cut_lineage(components(first))
-    open_rows = _open_rows(met, comps)
-    for pairs in (lambda: _screened(_drawn_pairs(open_rows, plan), nodes, plan), lambda: _cross_pairs(open_rows, nodes, plan)):
-        more = cut_lineage(pairs().join(tried, ["a", "b"], "left_anti"))
-        found = links(more, texts, with_id, plan)
-        if not found.isEmpty():
-            comps = cut_lineage(components(comps.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(found)))
-            open_rows = _open_rows(open_rows.drop("comp", "m"), comps)
-        tried = tried.unionAll(more)
+    more = cut_lineage(_cross_pairs(_open_rows(met, comps), nodes, plan).join(tried, ["a", "b"], "left_anti"))
+    second = links(more, texts, with_id, plan)
+    if not second.isEmpty():
+        comps = cut_lineage(components(comps.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(second)))
 
     named = nodes.select("node", "doc_id").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = cut_lineage(named.groupBy("component").agg(F.min("doc_id").alias("component_id")))
