@@ -96,8 +96,8 @@ def value_ids(values: np.ndarray) -> np.ndarray:
     return pa.array(values).dictionary_encode().indices.to_numpy().astype(np.int64)
 
 
-def text_runs(column: pa.Array) -> Iterator[Texts]:
-    """A batch's texts in runs of about CHUNK_BYTES; null counts as empty."""
+def text_runs(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[Texts]:
+    """A batch's texts in runs of about ``size`` bytes; null counts as empty."""
     column = pc.fill_null(column, "")
     wide = pa.types.is_large_string(column.type)
     buffers = column.buffers()
@@ -105,7 +105,7 @@ def text_runs(column: pa.Array) -> Iterator[Texts]:
     data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.zeros(0, np.uint8)
     i = 0
     while i < len(column):
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + CHUNK_BYTES, side="right")) - 1)
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, side="right")) - 1)
         j = min(j, len(column))
         yield Texts(data[offsets[i]: offsets[j]], offsets[i: j + 1] - offsets[i], i)
         i = j

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from campaignry.llm import exact, jaccard, mixing, warc
+from campaignry.llm import exact, jaccard, mixing, pieces, quality, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -29,8 +29,23 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op6_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encoded_documents(table(spark, folder, "documents"))
+
+
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    out = quality.quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return out.select("doc_id", *quality.COUNTS, "base_failed", "kept")
+
+
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = [op1_warc, op2_mixing, op4_jaccard_join, op5_exact_dedup]
+    ops = [op1_warc, op2_mixing, op4_jaccard_join, op5_exact_dedup, op6_pieces, op10_quality_rules, pipeline]
     return {op.__name__: op for op in ops}
 
 
