@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from campaignry.llm.batches import Texts, list_array, mixed, span_hashes, span_ids, text_runs, value_ids
 
@@ -309,9 +310,7 @@ def decode(encoded: DataFrame, path: str = MODEL_FILE, keep_text: bool = True) -
     names = [c for c in encoded.columns if c not in ("decoded", "decoded_sha256")]
     rows = encoded.select(*[F.col(f"`{c}`") for c in names])
     more = [("decoded", pa.string())] * keep_text + [("decoded_sha256", pa.string())]
-    ddl = rows.schema
-    for name, _ in more:
-        ddl = ddl.add(name, "string")
+    schema = StructType([*rows.schema.fields, *[StructField(name, StringType()) for name, _ in more]])
 
     def run(batches):
         vocab = _tables(pieces)
@@ -323,7 +322,7 @@ def decode(encoded: DataFrame, path: str = MODEL_FILE, keep_text: bool = True) -
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array([t.decode() for t in new[n]] if n == "decoded" else new[n], k)
                                                                 for n, k in more]], names=[*names, *[n for n, _ in more]])
 
-    return rows.mapInArrow(run, ddl)
+    return rows.mapInArrow(run, schema)
 
 
 def encoded_documents(docs: DataFrame, drop: Dropout = Dropout(), path: str = MODEL_FILE) -> DataFrame:

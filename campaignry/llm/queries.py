@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from campaignry.llm import exact, jaccard, mixing, pieces, quality, warc
+from campaignry.llm import counting, exact, jaccard, licenses, mixing, pieces, quality, secrets, sharding, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard(table(spark, folder, "documents"))
+
+
 def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, folder, "documents"))
 
@@ -33,6 +37,19 @@ def op6_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encoded_documents(table(spark, folder, "documents"))
 
 
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.secret_scan(table(spark, folder, "documents"))
+
+
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_scan(table(spark, folder, "documents"))
+
+
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return counting.counted_after_edits(docs, counting.sample_edits(docs["text"]))
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     out = quality.quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return out.select("doc_id", *quality.COUNTS, "base_failed", "kept")
@@ -45,9 +62,11 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = [op1_warc, op2_mixing, op4_jaccard_join, op5_exact_dedup, op6_pieces, op10_quality_rules, pipeline]
+    ops = [op1_warc, op2_mixing, op3_sharding, op4_jaccard_join, op5_exact_dedup, op6_pieces, op7_secret_scan, op8_license_scan,
+           op9_token_counts, op10_quality_rules, pipeline]
     return {op.__name__: op for op in ops}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": warc.ORACLE, "op2_mixing": mixing.ORACLE, "op5_exact_dedup": exact.ORACLE}
+    return {"op1_warc": warc.ORACLE, "op2_mixing": mixing.ORACLE, "op5_exact_dedup": exact.ORACLE,
+            "op7_secret_scan": secrets.ORACLE, "op8_license_scan": licenses.oracle()}
