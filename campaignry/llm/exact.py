@@ -3,7 +3,8 @@
 Two passes read the texts. The first writes a small fingerprint row per document; only texts whose hash occurs
 more than once are compared byte by byte in the second, after equal ones have been combined on the map side. The
 final joins carry fingerprints alone, and both of their sides are plain exchanges, so a group that holds a third
-of all rows is split by the adaptive skew join.
+of all rows is split by the adaptive skew join. The joins with texts are merge joins at any size: a plan that is a
+broadcast on small tables says nothing about large ones.
 """
 
 from __future__ import annotations
@@ -52,7 +53,7 @@ def verified_groups(docs: DataFrame, prints: DataFrame) -> DataFrame:
     light = cut_lineage(light)
     wanted = light.select("hash").distinct().withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     texts = docs.select(normalised(F.col("text")).alias("norm"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
-    texts = texts.withColumn("hash", _hash(F.col("norm"))).join(wanted, ["hash", "salt"])
+    texts = texts.withColumn("hash", _hash(F.col("norm"))).join(wanted.hint("merge"), ["hash", "salt"])
     same_bytes = texts.groupBy("hash", "norm").agg(F.count(F.lit(1)).alias("n"))
     same_bytes = same_bytes.select("hash", _digest(F.col("norm")).alias("digest"), "n")
     checked = light.join(same_bytes, ["hash", "digest"])
@@ -85,7 +86,7 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     groups = verified_groups(docs, cut_lineage(fingerprints(docs)))
     rows = docs.select(F.struct("*").alias("doc"), normalised(F.col("text")).alias("norm"))
     rows = rows.select("doc", _hash(F.col("norm")).alias("hash"), _digest(F.col("norm")).alias("digest"))
-    joined = rows.join(groups, ["hash", "digest"], "left")
+    joined = rows.join(groups.hint("merge"), ["hash", "digest"], "left")
     alone = F.col("head").isNull()
     first = F.col("doc.doc_id").eqNullSafe(F.col("head.doc_id"))
     if groups.filter("head.rows > 1").isEmpty():
