@@ -249,7 +249,7 @@ def links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, plan: JoinPlan) -
                                             F.lit(True).alias("member"), F.col("b").alias("node"))
     asked = cut_lineage(own.unionAll(members).join(nodes.select("node", "doc_id"), "node"))
     texts = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(asked, "doc_id").select("tile", "salt", "member", "node", "text").mapInArrow(
+    rows = texts.join(asked.hint("merge"), "doc_id").select("tile", "salt", "member", "node", "text").mapInArrow(
         _fetched(plan), "tile long, salt int, member boolean, node long, shingles binary")
     rows = rows.repartition("tile", "salt").sortWithinPartitions("tile", "salt", "member")
     return cut_lineage(rows.mapInArrow(_decided(plan), "u long, v long"))
