@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -34,7 +35,9 @@ def vectors(t: Tables) -> DataFrame:
 
 def best_fit(rows: DataFrame, clusters: int, seed: int, n_init: int, max_iter: int) -> KMeansModel:
     """The cheapest of several seeded starts."""
-    fits = [KMeans(k=clusters, seed=seed + i, maxIter=max_iter).fit(rows.select("features")) for i in range(n_init)]
+    features = rows.select("features")
+    with ThreadPool(min(n_init, 8)) as pool:  # the starts share the persisted rows and fill each other's gaps
+        fits = pool.map(lambda i: KMeans(k=clusters, seed=seed + i, maxIter=max_iter).fit(features), range(n_init))
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 
@@ -50,11 +53,12 @@ def kmeans_scan(t: Tables, ks=range(2, 11), seed: int = 42, n_init: int = 10, ma
 
 
 def fitted(t: Tables, clusters: int = 5, seed: int = 42, n_init: int = 20, max_iter: int = 500) -> KMeansModel:
-    if "kmeans" not in t._memo:
+    key = ("kmeans", clusters, seed, n_init, max_iter)
+    if key not in t._memo:
         rows = vectors(t).persist()
-        t._memo["kmeans"] = best_fit(rows, clusters, seed, n_init, max_iter)
+        t._memo[key] = best_fit(rows, clusters, seed, n_init, max_iter)
         rows.unpersist()
-    return t._memo["kmeans"]
+    return t._memo[key]
 
 
 def labelled(t: Tables) -> DataFrame:

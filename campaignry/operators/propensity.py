@@ -111,7 +111,8 @@ def ml_split(t: Tables, test_share: float = 0.2, seed: int = 42, folds: int = 5)
 
     The rest of the same order is dealt into equal folds, so one range sort serves both.
     """
-    if "split" not in t._memo:
+    key = ("split", test_share, seed, folds)
+    if key not in t._memo:
         rows = build_ml_dataset(t).withColumn("_h", k.stable_hash(F.lit(seed), "interaction_id"))
         hashed = rows.select(F.col("converted").alias("grp"), F.col("_h").alias("val"), "interaction_id")
         with SortedRuns(hashed, tie="interaction_id") as runs:
@@ -124,13 +125,13 @@ def ml_split(t: Tables, test_share: float = 0.2, seed: int = 42, folds: int = 5)
         first = (-1, -1)  # before every hash: an empty part
         part = _part({g: [found.get((g, r), first) for r in rs] for g, rs in want.items()})
         marked = rows.withColumn("_part", part).withColumn("is_test", F.col("_part") == 0)
-        t._memo["split"] = cut_lineage(
+        t._memo[key] = cut_lineage(
             marked.withColumn("fold", F.when(~F.col("is_test"), F.col("_part") - 1)).drop("_h", "_part"))
-    return t._memo["split"]
+    return t._memo[key]
 
 
-def train_rows(t: Tables) -> DataFrame:
-    return ml_split(t).filter(~F.col("is_test"))
+def train_rows(t: Tables, folds: int = 5) -> DataFrame:
+    return ml_split(t, folds=folds).filter(~F.col("is_test"))
 
 
 def test_rows(t: Tables) -> DataFrame:
@@ -161,7 +162,7 @@ def preprocessor(train: DataFrame) -> tuple[Pipeline, list[str]]:
     """
     found = train.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in CATEGORICAL]).first()
     levels = {c: list(found[c]) for c in CATEGORICAL}
-    quote = lambda v: v.replace("'", "\\'")
+    quote = lambda v: v.replace("\\", "\\\\").replace("'", "\\'")
     codes = [f"CASE WHEN `{c}` = '{quote(v)}' THEN 1.0D ELSE 0.0D END AS `x_{c}_{i}`"
              for c, vs in levels.items() for i, v in enumerate(vs[1:], 1)]
     coded = [f"x_{c}_{i}" for c, vs in levels.items() for i in range(1, len(vs))]
@@ -179,9 +180,10 @@ def ml_prep(t: Tables) -> DataFrame:
     return prepared(t)[1].select("interaction_id", "converted", "weight", "fold", vector_to_array("features").alias("features"))
 
 
-def prepared(t: Tables) -> tuple[PipelineModel, DataFrame, DataFrame, list[str]]:
-    if "prepared" not in t._memo:
-        train = train_rows(t)
+def prepared(t: Tables, folds: int = 5) -> tuple[PipelineModel, DataFrame, DataFrame, list[str]]:
+    key = ("prepared", folds)
+    if key not in t._memo:
+        train = train_rows(t, folds)
         pipe, names = preprocessor(train)
         model = pipe.fit(train)
         n = {r["converted"]: r["n"] for r in train.groupBy("converted").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -191,10 +193,10 @@ def prepared(t: Tables) -> tuple[PipelineModel, DataFrame, DataFrame, list[str]]
         keep = [*IDS, "converted", "features"]
         ready = model.transform(train).withColumns({
             "label": F.col("converted").cast("double"), "weight": weight, "pos_weight": scale})
-        t._memo["prepared"] = (
+        t._memo[key] = (
             model, cut_lineage(ready.select(*keep, "label", "weight", "pos_weight", "fold")),
             cut_lineage(model.transform(test_rows(t)).select(*keep)), names)
-    return t._memo["prepared"]
+    return t._memo[key]
 
 
 # The search spaces.
@@ -227,30 +229,42 @@ class Search:
     parallelism: int = 4
 
 
-def _cross_validate(estimator, maps: list[dict], train: DataFrame, search: Search):
-    """Best setting by mean AUC over the stratified folds; one setting is fitted directly."""
-    if len(maps) == 1:
-        return estimator.copy(maps[0]).fit(train), None
-    folds = train.withColumn("fold", (F.col("fold") % search.folds).cast("int"))
+@dataclass
+class Fitted:
+    """The model of the best setting, its mean AUC over the folds, and the setting by the names of the search space."""
+
+    model: object
+    cv_auc: float
+    setting: dict
+
+
+def _cross_validate(estimator, settings: list[dict], maps: list[dict], train: DataFrame, search: Search) -> Fitted:
+    """Best setting by mean AUC over the stratified folds."""
     cv = CrossValidator(
         estimator=estimator, estimatorParamMaps=maps, numFolds=search.folds, foldCol="fold", parallelism=search.parallelism,
         evaluator=BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC"))
-    model = cv.fit(folds)
-    return model.bestModel, max(model.avgMetrics)
+    done = cv.fit(train)
+    best = max(range(len(maps)), key=lambda i: done.avgMetrics[i])
+    return Fitted(done.bestModel, done.avgMetrics[best], settings[best])
 
 
 def fit_logreg(train: DataFrame, search: Search, n: int):
     """Inverse strength C of n rows is regParam 1 / (C n); the inputs are already scaled."""
     lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", maxIter=1000, standardization=False)
     maps = [{lr.regParam: 1.0 / (g["C"] * n), lr.elasticNetParam: 1.0 if g["penalty"] == "l1" else 0.0} for g in search.logreg]
-    return _cross_validate(lr, maps, train, search)
+    return _cross_validate(lr, search.logreg, maps, train, search)
+
+
+SPARK_DEPTH = 30  # Spark grows no deeper trees
 
 
 def fit_forest(train: DataFrame, search: Search):
+    """A forest; the setting without a depth limit grows to Spark's own limit, which the reported setting says."""
     rf = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight", seed=42)
-    maps = [{rf.numTrees: g["n_estimators"], rf.maxDepth: g["max_depth"] or 30, rf.minInstancesPerNode: g["min_samples_leaf"],
+    maps = [{rf.numTrees: g["n_estimators"], rf.maxDepth: g["max_depth"] or SPARK_DEPTH, rf.minInstancesPerNode: g["min_samples_leaf"],
              rf.featureSubsetStrategy: str(g["max_features"])} for g in search.forest]
-    return _cross_validate(rf, maps, train, search)
+    said = [g | {"max_depth": g["max_depth"] or f"none ({SPARK_DEPTH} in Spark)"} for g in search.forest]
+    return _cross_validate(rf, said, maps, train, search)
 
 
 def fit_boost(train: DataFrame, search: Search):
@@ -259,23 +273,24 @@ def fit_boost(train: DataFrame, search: Search):
     maps = [{gbt.maxIter: g["n_estimators"], gbt.stepSize: g["learning_rate"], gbt.maxDepth: g["max_depth"],
              gbt.subsamplingRate: g["subsample"], gbt.featureSubsetStrategy: str(float(g["colsample_bytree"])) if g["colsample_bytree"] < 1 else "all",
              gbt.minInstancesPerNode: g["min_child_weight"], gbt.minInfoGain: float(g["gamma"])} for g in search.boost]
-    return _cross_validate(gbt, maps, train, search)
+    return _cross_validate(gbt, search.boost, maps, train, search)
 
 
 MODELS = {"Logistic Regression": "logistic_regression", "Random Forest": "random_forest", "Boosted Trees": "boosted_trees"}
 
 
-def models(t: Tables, search: Search | None = None, names=tuple(MODELS)) -> dict[str, tuple]:
-    """(model, best cross-validated AUC) by name; each model is fitted once per table set."""
+def models(t: Tables, search: Search | None = None, names=tuple(MODELS)) -> dict[str, Fitted]:
+    """The fitted models by name; each is fitted once per table set and search."""
     search = search or t._memo.setdefault("search", Search())
-    _, train, _, _ = prepared(t)
-    have = t._memo.setdefault("models", {})
+    _, train, _, _ = prepared(t, search.folds)
+    have = t._memo.setdefault(("models", repr(search)), {})
     for name in names:
         if name in have:
             continue
         rows = train.persist()
         if name == "Logistic Regression":
-            have[name] = fit_logreg(rows, search, rows.count())
+            # The strength C counts the rows of a fit: those of all folds but one.
+            have[name] = fit_logreg(rows, search, round(rows.count() * (search.folds - 1) / search.folds))
         elif name == "Random Forest":
             have[name] = fit_forest(rows, search)
         else:
@@ -290,24 +305,24 @@ def scored(t: Tables, names=tuple(MODELS)) -> DataFrame:
     _, _, test, _ = prepared(t)
     out = None
     for name in names:
-        rows = fitted[name][0].transform(test).select(
+        rows = fitted[name].model.transform(test).select(
             *IDS, "converted", F.lit(name).alias("model"), vector_to_array("probability")[1].alias("score"))
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
 def all_scored(t: Tables) -> DataFrame:
-    if "scored" not in t._memo:
-        t._memo["scored"] = cut_lineage(scored(t))
-    return t._memo["scored"]
+    key = ("scored", repr(t._memo.get("search")))
+    if key not in t._memo:
+        t._memo[key] = cut_lineage(scored(t))
+    return t._memo[key]
 
 
 def _report(t: Tables, name: str) -> DataFrame:
-    model, auc = models(t, names=(name,))[name]
-    one = scored(t, (name,))
-    curve = score_curve(one)
-    stats = curve_metrics(curve)
-    return stats.withColumn("cv_auc", F.lit(auc).cast("double"))
+    fit = models(t, names=(name,))[name]
+    stats = curve_metrics(score_curve(scored(t, (name,))))
+    setting = ", ".join(f"{key}={value}" for key, value in sorted(fit.setting.items()))
+    return stats.withColumns({"cv_auc": F.lit(fit.cv_auc).cast("double"), "best_setting": F.lit(setting)})
 
 
 def ml_logreg(t: Tables) -> DataFrame:
@@ -360,13 +375,16 @@ def curve_metrics(curve: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 
 def _curve(t: Tables) -> DataFrame:
-    if "curve" not in t._memo:
-        t._memo["curve"] = score_curve(all_scored(t))
-    return t._memo["curve"]
+    key = ("curve", repr(t._memo.get("search")))
+    if key not in t._memo:
+        t._memo[key] = score_curve(all_scored(t))
+    return t._memo[key]
 
 
 def ml_metrics(t: Tables) -> DataFrame:
-    return curve_metrics(_curve(t))
+    """Test metrics per model; the one of the largest ROC-AUC is marked."""
+    best = Window.orderBy(F.desc("roc_auc"), "model")  # one row per model
+    return curve_metrics(_curve(t)).withColumn("is_best", F.row_number().over(best) == 1)
 
 
 def ml_curves(t: Tables) -> DataFrame:
@@ -384,7 +402,8 @@ def ml_confusion(t: Tables, threshold: float = 0.5) -> DataFrame:
 
 def _importance(t: Tables) -> list[tuple]:
     names, rows = prepared(t)[3], []
-    for model, (fit, _) in models(t).items():
+    for model, found in models(t).items():
+        fit = found.model
         weights = abs(fit.coefficients.toArray()) if model == "Logistic Regression" else fit.featureImportances.toArray()
         rows += [(model, names[i], float(w)) for i, w in enumerate(weights)]
     return rows
@@ -459,8 +478,8 @@ def target_list(t: Tables, model: str = "Boosted Trees", threshold: float = 0.65
 def save_models(t: Tables, folder: str) -> list[str]:
     """Writes the preprocessing, the fitted models and the metrics below one folder."""
     prepared(t)[0].write().overwrite().save(f"{folder}/preprocessor")
-    for name, (fit, _) in models(t).items():
-        fit.write().overwrite().save(f"{folder}/{MODELS[name]}")
+    for name, fit in models(t).items():
+        fit.model.write().overwrite().save(f"{folder}/{MODELS[name]}")
     ml_metrics(t).write.mode("overwrite").parquet(f"{folder}/model_metrics")
     ml_roi_scenarios(t).write.mode("overwrite").parquet(f"{folder}/roi_scenarios")
     return [f"{folder}/{n}" for n in ("preprocessor", *MODELS.values(), "model_metrics", "roi_scenarios")]

@@ -1,4 +1,4 @@
-"""Data-quality checks, constraint rules and table profiles: one aggregate pass per table."""
+"""Data-quality checks, constraint rules and table profiles; the measures of one table share one aggregate pass."""
 
 from __future__ import annotations
 
@@ -29,41 +29,54 @@ def _n(name: str) -> Column:
     return F.count(F.lit(1)).alias(name)
 
 
+def _agg(df: DataFrame, measures: list[Column]) -> DataFrame:
+    """One aggregate pass of the measures whose columns the table has; a missing column costs only its own measures."""
+    usable = []
+    for m in measures:
+        try:
+            df.agg(m).schema
+        except AnalysisException:
+            continue
+        usable.append(m)
+    return df.agg(*usable) if usable else df.limit(0).agg(F.count(F.lit(1)).alias("_none"))
+
+
 # Measures: each function returns a one-row aggregate whose columns are named measures.
 
 def customer_measures(t: Tables) -> DataFrame:
-    return t.customers.agg(
+    return _agg(t.customers, [
         _n("customers"), k.n_if(F.col("customer_segment").isNull()).alias("null_segment"),
         k.n_if(F.col("region").isNull()).alias("null_region"),
         k.n_if(F.datediff(t.today, "date_of_birth") / F.lit(365.25) < 18).alias("underage"),
         k.n_if(~F.col("credit_score").between(300, 999)).alias("bad_credit"),
         k.n_if(F.col("number_of_products") < 0).alias("negative_products"),
-    )
+    ])
 
 
 def campaign_measures(t: Tables) -> DataFrame:
-    return t.campaigns.agg(
+    return _agg(t.campaigns, [
         _n("campaigns"), k.n_if(F.col("end_date") <= F.col("start_date")).alias("bad_campaign_dates"),
         k.n_if(F.col("campaign_type").isNull()).alias("null_campaign_type"),
         k.n_if(F.col("start_date").isNull()).alias("null_start_date"),
-    )
+    ])
 
 
 def interaction_measures(t: Tables) -> DataFrame:
-    by_channel = t.campaign_interactions.groupBy("channel_id").agg(
-        _n("n"), k.n_if(F.col("interaction_outcome").isNull()).alias("gaps"),
-        k.n_if(k.outcome_is("Opted Out")).alias("out"))
-    return by_channel.agg(
+    have = t.campaign_interactions.columns
+    counts = [_n("n")] + [x for x in (k.n_if(F.col("interaction_outcome").isNull()).alias("gaps"), k.n_if(k.outcome_is("Opted Out")).alias("out"))
+                          if "interaction_outcome" in have]
+    by_channel = t.campaign_interactions.groupBy(*["channel_id"] * ("channel_id" in have)).agg(*counts)
+    return _agg(by_channel, [
         F.coalesce(F.sum("n"), F.lit(0)).alias("interactions"), F.coalesce(F.sum("gaps"), F.lit(0)).alias("null_outcome"),
-        k.pct(F.sum("out"), F.sum("n")).alias("optout_rate"), F.count("channel_id").alias("live_channels"))
+        k.pct(F.sum("out"), F.sum("n")).alias("optout_rate"), F.count("channel_id").alias("live_channels")])
 
 
 def conversion_measures(t: Tables) -> DataFrame:
-    return t.campaign_conversions.agg(
+    return _agg(t.campaign_conversions, [
         _n("conversions"), k.n_if(F.col("product_id").isNull()).alias("null_conv_product"),
         k.n_if(F.col("revenue_attributed").isNull()).alias("null_revenue"),
         k.n_if(F.col("revenue_attributed") <= 0).alias("unpaid_conversions"),
-    )
+    ])
 
 
 def small_measures(t: Tables) -> list[DataFrame]:
@@ -140,7 +153,7 @@ CHECKS = [
 
 
 def judge(t: Tables, parts: list, checks=CHECKS) -> DataFrame:
-    """PASS / WARN / FAIL per check. A measure that cannot be computed fails its check."""
+    """PASS / WARN / FAIL per check. A check that cannot be computed is FAIL, whatever its severity."""
     measured, wanted = [], {c[2] for c in checks}
     for part in parts:
         try:
@@ -153,13 +166,13 @@ def judge(t: Tables, parts: list, checks=CHECKS) -> DataFrame:
                 measured.append(_rows(one.select(*[F.col(f"`{c}`") for c in names])))
     plan = local_frame(t.spark, [(*c[:3], None if c[3] is None else float(c[3]), None if c[4] is None else float(c[4]), *c[5:]) for c in checks],
         "name string, severity string, measure string, lo double, hi double, open_end boolean, expected string")
-    joined = plan.join(_union(measured), "measure", "left").withColumn("_known", F.lit(True))
+    joined = plan.join(_union(measured).withColumn("_known", F.lit(True)), "measure", "left")
     a = F.col("actual")
     ok = (F.col("lo").isNull() | (a >= F.col("lo"))) & (
         F.col("hi").isNull() | F.when(F.col("open_end"), a < F.col("hi")).otherwise(a <= F.col("hi")))
     return joined.select(
         "name", "severity", "actual", "expected",
-        F.when(a.isNotNull() & ok, "PASS").otherwise(F.col("severity")).alias("status"))
+        F.when(F.col("_known").isNull(), "FAIL").when(a.isNotNull() & ok, "PASS").otherwise(F.col("severity")).alias("status"))
 
 
 def _named(names: list[str]):
@@ -177,6 +190,11 @@ def dq_run(t: Tables, checks=CHECKS) -> DataFrame:
     ], checks)
 
 
+def dq_totals(t: Tables) -> DataFrame:
+    """Checks per status."""
+    return dq_run(t).groupBy("status").agg(F.count(F.lit(1)).alias("checks"))
+
+
 def dq_rowcounts(t: Tables) -> DataFrame:
     parts = [customer_measures, campaign_measures, interaction_measures, conversion_measures, small_measures]
     return judge(t, parts, [c for c in CHECKS if c[0].startswith("Row count")])

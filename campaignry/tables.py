@@ -7,13 +7,18 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SMALL_ROWS = 200_000
+SMALL_BYTES = 16 << 20
 
 
-def if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Broadcast hint only after counting at most max_rows + 1 rows; otherwise Spark chooses the join."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def if_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> DataFrame:
+    """Broadcast hint only after measuring at most max_rows + 1 rows in bytes; otherwise Spark chooses the join."""
+    text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if isinstance(f.dataType, T.StringType)]
+    width = sum(text, F.lit(16 * len(df.columns)))  # a fixed-size value takes 16 bytes at most
+    seen = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if seen["n"] <= max_rows and seen["bytes"] <= max_bytes else df
 
 
 @dataclass

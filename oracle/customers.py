@@ -133,7 +133,7 @@ SQL = {
     "dnc_refresh": q(f"""SELECT customer_id, is_dnc AS was_dnc, is_dnc OR customer_id IN (SELECT customer_id FROM campaign_interactions WHERE {OPT}) AS is_dnc FROM customers"""),
     "src_csv_typed": q("""SELECT customer_id, customer_code, first_name, last_name, region, city, customer_segment, gender, employment_status,
       CAST(annual_income AS DOUBLE) AS annual_income, credit_score, number_of_products, is_active, is_dnc, date_of_birth, acquisition_date FROM customers"""),
-    "src_parquet": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1996-02-01'",
+    "src_parquet": "SELECT o_orderkey, o_custkey FROM orders",
     "bronze_audit": "SELECT 'orders.parquet' AS source_file, count(*) AS rows_loaded, count(*) AS rows_stamped FROM orders",
     "load_append": q(" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS rows_loaded FROM {n}" for n in LOADED)),
     "load_reconcile": q(" UNION ALL ".join(f"""SELECT '{n}' AS table_name, 0 AS rows_before, count(*) AS source_rows, count(*) AS rows_after, count(*) AS rows_loaded,

@@ -141,7 +141,7 @@ SQL = {
         for c in ("Credit Card", "Savings Account", "Fixed Deposit", "Personal Loan", "Home Loan")) + """
       FROM campaign_conversions JOIN products USING (product_id) JOIN customers USING (customer_id) GROUP BY 1"""),
     "segment_revenue": q(SEG_REV),
-    "products_held_dist": q("SELECT customer_segment, " + ", ".join(f"count(*) FILTER (WHERE n = {i}) AS products_{i}" for i in (1, 2, 3, 4)) + """
+    "products_held_dist": q("SELECT customer_segment, " + ", ".join(f"count(*) FILTER (WHERE n = {i}) AS products_{i}" for i in (1, 2, 3, 4)) + """, count(*) FILTER (WHERE n >= 5) AS products_5_plus
       FROM (SELECT customer_id, count(*) AS n FROM customer_products WHERE status = 'Active' GROUP BY 1) JOIN customers USING (customer_id) GROUP BY 1"""),
     "category_cvr": q(cvr_by("campaign_interactions JOIN campaigns USING (campaign_id) JOIN products USING (product_id)", "product_category", "product_category")),
     "category_rev": q(f"""SELECT product_category, {gbp('sum(rev_p)')} AS total_revenue, count(*) AS conversions,

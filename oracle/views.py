@@ -251,7 +251,7 @@ SQL = {
     "rfm_recommend": q("SELECT customer_id, targeting_recommendation FROM seg", **RFM),
     "top_campaigns_roi": q(f"""SELECT campaign_code, campaign_name, channel_name, product_category, total_budget,
       revenue_attributed, roi_pct, conversion_rate_pct, cost_per_acquisition, rank() OVER (ORDER BY roi_pct DESC NULLS LAST) AS roi_rank
-      {COMPLETED} AND total_contacts > 250 ORDER BY roi_rank, campaign_code LIMIT 10""", **PERF),
+      {COMPLETED} AND total_contacts > 500 ORDER BY roi_rank, campaign_code LIMIT 10""", **PERF),
     "rank_in_groups": q(f"""SELECT campaign_code, product_category, channel_name, conversion_rate_pct, roi_pct, total_contacts,
       rank() OVER (PARTITION BY product_category ORDER BY conversion_rate_pct DESC NULLS LAST) AS rank_within_product,
       rank() OVER (PARTITION BY channel_name ORDER BY conversion_rate_pct DESC NULLS LAST) AS rank_within_channel,

@@ -43,7 +43,6 @@ def test_label_branches_are_all_reachable_or_ordered(star):
 
 
 def test_silhouette_equals_the_evaluator_and_brute_force(star):
-    clusters.fitted(star, n_init=1)
     rows = clusters.labelled(star)
     mean = np.mean([r["silhouette"] for r in clusters.silhouette_points(star).collect()])
     assert mean == pytest.approx(ClusteringEvaluator(predictionCol="cluster").evaluate(rows), abs=1e-9)

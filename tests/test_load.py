@@ -61,3 +61,25 @@ def test_sink_round_trip(spark, star):
     for kind in ("csv", "parquet"):
         back = load.sink(small, scratch_path(spark, kind), kind)
         assert sorted(map(tuple, back.collect())) == sorted(map(tuple, small.collect()))
+
+
+def test_whole_numbers_with_a_zero_fraction_and_quoted_header(spark, tmp_path):
+
+    from campaignry import schema as S
+
+    fields = [f.name for f in S.SCHEMAS["customer_products"]]
+    row = {f.name: {"long": "7", "integer": "7", "short": "7", "date": "2001-01-01", "decimal": "1.50", "string": "Active", "boolean": "true"}[f.dataType.typeName()]
+           for f in S.SCHEMAS["customer_products"]}
+    path = tmp_path / "customer_products.csv"
+
+    def write(campaign):
+        line = [{**row, "campaign_id": campaign}[f] for f in fields]
+        path.write_text(",".join(f'"{f}"' for f in fields) + "\n" + ",".join(line) + "\n")
+
+    write("12.0")
+    assert load.read_csv(spark, str(path), "customer_products").first()["campaign_id"] == 12
+    write("")
+    assert load.read_csv(spark, str(path), "customer_products").first()["campaign_id"] is None
+    write("12.5")
+    with pytest.raises(Exception):
+        load.read_csv(spark, str(path), "customer_products").collect()

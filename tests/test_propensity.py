@@ -4,11 +4,16 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from campaignry.catalog import QUICK_SEARCH
 from campaignry.operators import propensity as p
 from campaignry.session import local_frame
 
 
+SMALL_SEARCH = p.Search(
+    logreg=[{"C": 0.1, "penalty": "l2"}], folds=3,
+    forest=[{"n_estimators": 30, "max_depth": 5, "min_samples_leaf": 5, "max_features": "sqrt"}],
+    boost=[{"n_estimators": 15, "learning_rate": 0.1, "max_depth": 3, "subsample": 0.8, "colsample_bytree": 0.8, "min_child_weight": 5, "gamma": 0}])
+
+
 def scored_rows(n=400, seed=3):
     """Two models with many tied scores; the first follows the label."""
     rng = random.Random(seed)
@@ -63,7 +68,7 @@ def test_split_is_exact_stratified_and_repeatable(star):
         assert len(test) == int(len(mine) * 0.2 + 0.5)
         folds = np.bincount([r["fold"] for r in mine if not r["is_test"]])
         assert len(folds) == 5 and folds.max() - folds.min() <= 1
-    star._memo.pop("split")
+    [star._memo.pop(key) for key in list(star._memo) if key[0] == "split"]
     assert {r["interaction_id"] for r in p.ml_split(star).filter("is_test").collect()} == {r["interaction_id"] for r in rows if r["is_test"]}
 
 
@@ -88,7 +93,7 @@ def test_draws_are_distinct_and_in_the_space():
 
 
 def test_models_learn_and_reports_hold(star):
-    star._memo["search"] = QUICK_SEARCH
+    star._memo["search"] = SMALL_SEARCH
     got = {r["model"]: r for r in p.ml_metrics(star).collect()}
     assert set(got) == set(p.MODELS) and all(r["roc_auc"] > 0.6 for r in got.values())
     sweep = p.ml_threshold_sweep(star).orderBy("threshold").collect()
@@ -100,3 +105,15 @@ def test_models_learn_and_reports_hold(star):
     confusion = p.ml_confusion(star).collect()
     for m in p.MODELS:
         assert sum(r["n"] for r in confusion if r["model"] == m) == p.test_rows(star).count()
+
+
+def test_results_follow_their_arguments(star):
+    assert p.ml_split(star, test_share=0.5).filter("is_test").count() > p.ml_split(star).filter("is_test").count()
+    three = p.ml_split(star, folds=3).filter("NOT is_test").groupBy("fold").count().collect()
+    assert len(three) == 3 and max(r["count"] for r in three) - min(r["count"] for r in three) <= 2
+
+
+def test_one_setting_is_cross_validated_and_named(star):
+    star._memo["search"] = SMALL_SEARCH
+    row = p.ml_logreg(star).first()
+    assert 0.5 < row["cv_auc"] <= 1 and row["best_setting"] == "C=0.1, penalty=l2"

@@ -64,3 +64,15 @@ def test_pct_rounds_half_up_exactly(spark, pairs):
             assert r["p"] is None
         else:
             assert int(r["p"] * 100) == (2 * r["a"] * 10000 + r["b"]) // (2 * r["b"])
+
+
+def test_a_missing_column_fails_its_own_check_only(star):
+    whole = rows_by(quality.dq_run(star), "name")
+    for table, column, names in (
+        ("customers", "region", {"No NULL region"}), ("customers", "credit_score", {"RULE: credit_score within 300–999"}),
+        ("campaigns", "end_date", {"RULE: campaign end_date > start_date"}),
+        ("campaign_conversions", "revenue_attributed", {"No NULL revenue_attributed", "RULE: revenue_attributed > 0 on all conversions"}),
+    ):
+        less = rows_by(quality.dq_run(replace(star, **{table: star[table].drop(column)}, _memo={}, _dims={})), "name")
+        assert {n for n in whole if less[n]["status"] == "FAIL" and less[n]["actual"] is None} == names
+        assert all(less[n]["status"] == whole[n]["status"] for n in whole if n not in names)
