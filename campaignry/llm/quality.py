@@ -32,8 +32,8 @@ class Rules:
     threshold: float = 0.5  # least calibrated probability of good quality
     max_rows: int = 6000  # labelled documents the classifier learns from
     bits: int = 15  # hash buckets of words and of characters, as a power of two
-    iterations: int = 30
-    penalty: float = 0.005
+    iterations: int = 60
+    penalty: float = 1e-6
 
 
 @dataclass(frozen=True)
@@ -155,7 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> Model |
     sparse = F.udf(lambda i, v: Vectors.sparse(size, i, v), VectorUDT())
     vectors = rows.select("label", "held_out", sparse("indices", "values").alias("features"))
     fit_on = vectors.filter("NOT held_out") if len({c for c, held in seen if not held}) == 2 else vectors
-    fitted = LogisticRegression(maxIter=rules.iterations, regParam=rules.penalty).fit(fit_on.cache())
+    fitted = LogisticRegression(maxIter=rules.iterations, regParam=rules.penalty, standardization=False).fit(fit_on.cache())
     fit_on.unpersist()
     weights, slope, shift = fitted.coefficients.toArray(), 1.0, 0.0
     if len({c for c, held in seen if held}) == 2:
