@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -26,7 +27,7 @@ from campaignry.llm.batches import Texts, list_array, mixed, span_hashes, span_i
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"  # fixed value: the sign for a space in pieces
 NONE = np.iinfo(np.int32).max
-RUN_BYTES = 1 << 22  # texts that share their equal words
+RUN_BYTES = 1 << 20  # texts that share their equal words
 LOCKSTEP = 48  # longest word, in symbols, that is worked on in lockstep
 
 
@@ -262,6 +263,12 @@ def decode_ids(vocab: Vocabulary, ids: np.ndarray) -> bytes:
     return vocab.text[np.repeat(vocab.text_at[ids] - at[:-1], each) + np.arange(at[-1])].tobytes()[1:]
 
 
+def decoded_digests(vocab: Vocabulary, column: pa.Array) -> list[str]:
+    """SHA-256 of the text of each id sequence of a list column."""
+    flat, at = column.values.to_numpy(), column.offsets.to_numpy()
+    return [hashlib.sha256(decode_ids(vocab, flat[a:b])).hexdigest() for a, b in zip(at[:-1], at[1:])]
+
+
 def _vocabulary(spark, path: str):
     return spark.sparkContext.broadcast(read_model(path))  # the pieces of a vocabulary file, 32,000 here
 
@@ -285,7 +292,11 @@ def encode(docs: DataFrame, drop: Dropout = Dropout(), path: str = MODEL_FILE) -
     columns are not read.
     """
     pieces = _vocabulary(docs.sparkSession, path)
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
+        _encoder(pieces, drop), "doc_id long, ids array<int>, text_sha256 string")
+
 
+def _encoder(pieces, drop: Dropout):
     def run(batches):
         vocab = _tables(pieces)
         for batch in batches:
@@ -300,8 +311,7 @@ def encode(docs: DataFrame, drop: Dropout = Dropout(), path: str = MODEL_FILE) -
                 digests += [hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(texts.bounds[:-1].tolist(), texts.bounds[1:].tolist())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), list_array(np.concatenate(ids), np.concatenate(sizes), pa.int32()),
                                               pa.array(digests, pa.string())], names=["doc_id", "ids", "text_sha256"])
-
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, ids array<int>, text_sha256 string")
+    return run
 
 
 def decode(encoded: DataFrame, path: str = MODEL_FILE, keep_text: bool = True) -> DataFrame:
@@ -326,7 +336,20 @@ def decode(encoded: DataFrame, path: str = MODEL_FILE, keep_text: bool = True) -
 
 
 def encoded_documents(docs: DataFrame, drop: Dropout = Dropout(), path: str = MODEL_FILE) -> DataFrame:
-    """doc_id, ids, n_ids, text_sha256 and whether the ids decode to the very text."""
-    out = decode(encode(docs, drop, path), path, keep_text=False)
-    return out.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), "text_sha256",
-                      (F.col("text_sha256") == F.col("decoded_sha256")).alias("lossless"))
+    """doc_id, ids, n_ids, text_sha256 and whether the ids decode to the very text.
+
+    Both ways run in one step, so that a task has one Python worker. Edge cases as in ``encode``.
+    """
+    pieces = _vocabulary(docs.sparkSession, path)
+    encoder = _encoder(pieces, drop)
+
+    def run(batches):
+        for batch in encoder(batches):
+            digests = decoded_digests(_tables(pieces), batch.column("ids"))
+            same = pc.equal(batch.column("text_sha256"), pa.array(digests, pa.string()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"),
+                                              pc.list_value_length(batch.column("ids")).cast(pa.int64()), batch.column("text_sha256"), same],
+                                             names=["doc_id", "ids", "n_ids", "text_sha256", "lossless"])
+
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
+        run, "doc_id long, ids array<int>, n_ids long, text_sha256 string, lossless boolean")
