@@ -13,12 +13,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StructType
 
 from campaignry.llm.batches import Texts, list_array, span_ids, text_runs, value_ids
-from campaignry.session import cut_lineage
+from campaignry.session import scratch_path
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[np.frombuffer(b"#*$%&|<>", np.uint8)] = True
@@ -108,7 +111,7 @@ def margins(texts: Texts, model: Model) -> np.ndarray:
 
 
 def _features(bits: int):
-    """Indices and values of each text's sparse vector: shares of its word grams, then of its character grams."""
+    """Each text's sparse vector, in the stored form of one: shares of its word grams, then of its character grams."""
     def run(batches):
         for batch in batches:
             index, value, sizes = [], [], []
@@ -127,9 +130,12 @@ def _features(bits: int):
             sizes = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
             index = np.concatenate(index) if index else np.zeros(0, np.int64)
             value = np.concatenate(value) if value else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([
-                batch.column("label"), batch.column("held_out"), list_array(index.astype(np.int32), sizes, pa.int32()),
-                list_array(value, sizes, pa.float64())], names=["label", "held_out", "indices", "values"])
+            n = len(batch)
+            vector = pa.StructArray.from_arrays(
+                [pa.array(np.zeros(n, np.int8)), pa.array(np.full(n, 2 << bits, np.int32)),
+                 list_array(index.astype(np.int32), sizes, pa.int32()), list_array(value, sizes, pa.float64())],
+                names=["type", "size", "indices", "values"])
+            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("held_out"), vector], names=["label", "held_out", "features"])
     return run
 
 
@@ -146,21 +152,21 @@ def labelled(docs: DataFrame, labels: DataFrame, rules: Rules) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> Model | None:
     """The calibrated classifier; none where the labels have fewer than two classes, so that the base rules decide."""
-    rows = cut_lineage(labelled(docs, labels, rules).mapInArrow(
-        _features(rules.bits), "label double, held_out boolean, indices array<int>, values array<double>"))
-    seen = {(r[0], r[1]) for r in rows.select("label", "held_out").distinct().collect()}
+    rows = labelled(docs, labels, rules).mapInArrow(
+        _features(rules.bits), "label double, held_out boolean, features struct<type:tinyint,size:int,indices:array<int>,values:array<double>>")
+    path = scratch_path(docs.sparkSession, "features")
+    rows.write.parquet(path)  # read back as vectors, without a Python function
+    stored = StructType().add("label", DoubleType()).add("held_out", BooleanType()).add("features", VectorUDT())
+    vectors = docs.sparkSession.read.schema(stored).parquet(path)
+    seen = {(r[0], r[1]) for r in vectors.select("label", "held_out").distinct().collect()}
     if len({c for c, _ in seen}) < 2:
         return None
-    size = 2 << rules.bits
-    sparse = F.udf(lambda i, v: Vectors.sparse(size, i, v), VectorUDT())
-    vectors = rows.select("label", "held_out", sparse("indices", "values").alias("features"))
     fit_on = vectors.filter("NOT held_out") if len({c for c, held in seen if not held}) == 2 else vectors
-    fitted = LogisticRegression(maxIter=rules.iterations, regParam=rules.penalty, standardization=False).fit(fit_on.cache())
-    fit_on.unpersist()
+    fitted = LogisticRegression(maxIter=rules.iterations, regParam=rules.penalty, standardization=False).fit(fit_on)
     weights, slope, shift = fitted.coefficients.toArray(), 1.0, 0.0
     if len({c for c, held in seen if held}) == 2:
-        margin = F.udf(lambda v: Vectors.dense([float(v[1])]), VectorUDT())
-        scored = fitted.transform(vectors.filter("held_out")).select("label", margin("rawPrediction").alias("margin"))
+        raw = fitted.transform(vectors.filter("held_out")).select("label", vector_to_array("rawPrediction")[1].alias("raw"))
+        scored = VectorAssembler(inputCols=["raw"], outputCol="margin").transform(raw)
         platt = LogisticRegression(featuresCol="margin", maxIter=50, regParam=0.0).fit(scored)
         if platt.coefficients[0] > 0:
             slope, shift = float(platt.coefficients[0]), float(platt.intercept)
