@@ -16,9 +16,6 @@ from campaignry.session import cut_lineage
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BASE = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
-# Texts without any of these hold neither a base phrase nor a rule's keyword.
-GATE = r"(?i)licen|spdx|gpl|creative|public.domain|unlicense|(?:^|[^0-9a-z\x{80}-\x{10FFFF}])cc[^0-9a-z\x{80}-\x{10FFFF}]"
-
 # label, keyword, name in words: "x?" may be missing, "a|b" is either.
 NAMES = [
     ("mit", "mit", "mit|expat"), ("mit-0", "mit", "mit no attribution"), ("x11", "x11", "x11"), ("isc", "isc", "isc"),
@@ -75,12 +72,46 @@ def signature(words: str) -> str:
     return "".join(out)
 
 
+def alternatives(keyword: str, name: str) -> list[tuple[str, str]]:
+    """(keyword, name) of each way to write a name; a keyword that is one of several choices gives each choice its own."""
+    words = name.split()
+    if keyword in words:
+        return [(keyword, name)]
+    at = next(i for i, w in enumerate(words) if keyword in w.split("|"))
+    return [(w, " ".join([*words[:at], w, *words[at + 1:]])) for w in words[at].split("|")]
+
+
+def _worded() -> list[tuple[str, str, int, float, str]]:
+    """label, keyword, priority, confidence, rule words."""
+    names = [(label, *way) for label, keyword, name in NAMES for way in alternatives(keyword, name)]
+    rows = [(label, keyword, p, c, frame.format(name)) for p, c, frame in FRAMES for label, keyword, name in names]
+    rows += [(label, keyword, 2, 0.8, name + " 1|2|3|4 0|5") for label, keyword, name in names if keyword == "cc"]
+    return rows + [(label, words.split()[0], 2, 0.85, words) for words, label in BASE]
+
+
 def rules() -> list[tuple[int, str, str, int, float, str]]:
     """number, label, padded keyword, priority, confidence, expression; earlier rules win ties."""
-    rows = [(p, c, label, f" {keyword} ", signature(frame.format(name))) for p, c, frame in FRAMES for label, keyword, name in NAMES]
-    rows += [(2, 0.8, label, " cc ", signature(name + " 1|2|3|4 0|5")) for label, keyword, name in NAMES if keyword == "cc"]
-    rows += [(2, 0.85, label, f" {words.split()[0]} ", signature(words)) for words, label in BASE]
-    return [(i, label, keyword, p, c, e) for i, (p, c, label, keyword, e) in enumerate(rows)]
+    return [(i, label, f" {keyword} ", p, c, signature(words)) for i, (label, keyword, p, c, words) in enumerate(_worded())]
+
+
+def _gate() -> str:
+    """What every text with a detection matches: a word on licenses, or the beginning of a rule that needs none.
+
+    The beginning are the words up to the first that may be missing; if that is one word or none, it is the whole rule.
+    """
+    gap, begins = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]", {}
+    for *_, words in _worded():
+        words = words.split()
+        if any(all("licen" in x for x in w.split("|")) for w in words if not w.endswith("?")):
+            continue
+        fixed = next((i for i, w in enumerate(words) if w.endswith("?")), len(words))
+        units = [f"(?:{w.rstrip('?')}){gap}+" for w in words]
+        units = units[:fixed] if fixed > 1 else [f"(?:{u})?" if w.endswith("?") else u for u, w in zip(units, words)]
+        begins["".join(units).removesuffix(f"{gap}+")] = True
+    return f"(?i)licen|(?:^|{gap})(?:{'|'.join(begins)})"
+
+
+GATE = _gate()
 
 
 def padded(text: Column) -> Column:
