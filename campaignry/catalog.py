@@ -186,22 +186,6 @@ def _load() -> dict[str, Operator]:
     }
 
 
-# The registered jobs search all settings of the linear model in all folds, but only two small settings of each tree
-# model: the 45 settings of the full spaces mean 225 tree fits. The library's default tries them all.
-SHORT_SEARCH = propensity.Search(
-    forest=[{"n_estimators": n, "max_depth": 5, "min_samples_leaf": 5, "max_features": "sqrt"} for n in (20, 30)],
-    boost=[{"n_estimators": 15, "learning_rate": r, "max_depth": 3, "subsample": 0.8, "colsample_bytree": 0.8,
-            "min_child_weight": 5, "gamma": 0} for r in (0.1, 0.2)],
-)
-
-
-def _short(op: Operator) -> Operator:
-    def run(t: Tables) -> DataFrame:
-        t._memo.setdefault("search", SHORT_SEARCH)
-        return op(t)
-    return run
-
-
 def _clusters() -> dict[str, Operator]:
     names = ["kmeans_fit", "pca_project", "pca_loadings", "pca_centroids", "silhouette_points", "cluster_profile",
              "cluster_rfm_crosstab", "cluster_assign", "cluster_summary"]
@@ -234,7 +218,7 @@ def _propensity() -> dict[str, Operator]:
         "ml_prep": lambda t: p.ml_prep(t).select(
             "interaction_id", "converted", "weight", "fold", F.size("features").alias("n_features"),
             F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x), 6).alias("feature_sum")),
-        **{n: _short(getattr(p, n)) for n in trained},
+        **{n: getattr(p, n) for n in trained},
     }
 
 

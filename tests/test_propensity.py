@@ -1,9 +1,11 @@
 import random
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from campaignry.catalog import operators
 from campaignry.operators import propensity as p
 from campaignry.session import local_frame
 
@@ -117,3 +119,13 @@ def test_one_setting_is_cross_validated_and_named(star):
     star._memo["search"] = SMALL_SEARCH
     row = p.ml_logreg(star).first()
     assert 0.5 < row["cv_auc"] <= 1 and row["best_setting"] == "C=0.1, penalty=l2"
+
+
+def test_registered_queries_run_the_default_search(monkeypatch):
+    trained = ["ml_logreg", "ml_rf", "ml_gbt", "ml_metrics", "ml_curves", "ml_confusion", "ml_importance", "ml_rank_agreement",
+               "ml_threshold_sweep", "ml_roi_scenarios", "ml_save", "target_list"]
+    for name in trained:
+        monkeypatch.setattr(p, name, lambda t: t._memo.get("search") or p.Search())
+    full = p.Search()
+    assert (len(full.logreg), len(full.forest), len(full.boost), full.folds) == (12, 20, 25, 5)
+    assert all(operators()[name](SimpleNamespace(_memo={})) == full for name in trained)
