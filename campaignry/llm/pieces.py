@@ -2,11 +2,12 @@
 
 The vocabulary comes from a model file; the merges are done here. A text becomes its characters after one leading
 space; the agenda always merges the adjacent pair whose union is the piece of the best score, the leftmost of equals.
-A candidate is skipped where a hash keyed by seed, variant, word, place and piece falls below the dropout rate, so a
-rerun gives the same pieces and another seed or variant gives others. Characters without a piece become byte pieces.
+A candidate is skipped where a hash keyed by seed, document, copy, the word and its number in the document, place and
+piece falls below the dropout rate, so a rerun gives the same pieces and each occurrence of a word is cut on its own. Characters without a piece become byte pieces.
 
 No piece holds a space after another character, so a text falls into independent words of leading spaces and other
-characters. Equal words of a batch are worked on once per variant, many words in lockstep; a long word uses a heap.
+characters. Many words are worked on in lockstep; a long word uses a heap. Short equal words of a run share the work
+where the skip decisions on every part of the word that is a piece are the same, since nothing else tells them apart.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -29,13 +30,15 @@ SPACE = "▁"  # fixed value: the sign for a space in pieces
 NONE = np.iinfo(np.int32).max
 RUN_BYTES = 1 << 20  # texts that share their equal words
 LOCKSTEP = 48  # longest word, in symbols, that is worked on in lockstep
+SHARED = 16  # longest word, in symbols, whose equal occurrences may share their work
+BITS = 62  # most skip decisions of such a word
+CHUNK = 1 << 15  # occurrences whose decisions are made at once
 
 
 @dataclass(frozen=True)
 class Dropout:
     rate: float = 0.1
     seed: int = 29
-    variants: int = 4  # ways that one word may be cut in the corpus
 
 
 def read_model(path: str = MODEL_FILE) -> list[tuple[str, float, int]]:
@@ -206,6 +209,55 @@ def _heaped(vocab: Vocabulary, symbols: np.ndarray, key: np.uint64, limit: np.ui
     return np.array([s for s in sym if s >= 0], np.int32)
 
 
+def _candidates(vocab: Vocabulary, symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
+    """word, start and rank of every part of a word of at most SHARED symbols that merges can make, by word."""
+    found = []
+    for low, width in ((1, 6), (6, 10), (10, SHARED)):
+        rows = np.flatnonzero((lengths > low) & (lengths <= min(width, SHARED)))
+        if not len(rows):
+            continue
+        column = np.arange(width)
+        one = np.where(column < lengths[rows, None], symbols[np.minimum(starts[rows, None] + column, len(symbols) - 1)], -1)
+        made = {1: one}  # the piece of each part by its size and start
+        for size in range(2, width + 1):
+            n = width - size + 1
+            made[size] = whole = np.full((len(rows), n), -1, np.int32)
+            for k in range(1, size):
+                left, right = made[k][:, :n], made[size - k][:, k: k + n]
+                r, c = np.nonzero((left >= 0) & (right >= 0) & (whole < 0))
+                rank = vocab.ranks(left[r, c], right[r, c])
+                hit = rank != NONE
+                whole[r[hit], c[hit]] = vocab.at_rank[rank[hit]]
+            r, c = np.nonzero(whole >= 0)
+            found.append((rows[r], c, vocab.rank[whole[r, c]]))
+    word, place, rank = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+    order = np.argsort(word, kind="stable")
+    return word[order], place[order], rank[order]
+
+
+def _alike(vocab: Vocabulary, symbols: np.ndarray, bounds: np.ndarray, word: np.ndarray, key: np.ndarray, limit: np.uint64) -> np.ndarray:
+    """Small numbers of the occurrences, equal only for equal words with the same skip decisions."""
+    if not limit:
+        return word
+    lengths = np.diff(bounds)
+    owner, place, rank = _candidates(vocab, symbols, bounds[:-1], lengths)
+    many = np.bincount(owner, minlength=len(lengths))
+    first = np.cumsum(many) - many
+    shared = (lengths <= SHARED) & (many <= BITS)
+    skips = (np.uint64(1 << BITS) + np.arange(len(word)).astype(np.uint64))  # occurrences on their own
+    for a in range(0, len(word), CHUNK):
+        at = a + np.flatnonzero(shared[word[a: a + CHUNK]])
+        each = many[word[at]]
+        ends = np.concatenate(([0], np.cumsum(each)))
+        bit = np.arange(ends[-1]) - np.repeat(ends[:-1], each)
+        one = np.repeat(first[word[at]], each) + bit
+        skip = _skips(np.repeat(key[at], each), place[one], rank[one], limit)
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(skip.astype(np.uint64) << bit.astype(np.uint64), dtype=np.uint64)))
+        skips[at] = sums[ends[1:]] - sums[ends[:-1]]
+    decided = value_ids(skips)
+    return value_ids(word * (int(decided.max()) + 1) + decided)
+
+
 def encode_run(vocab: Vocabulary, texts: Texts, doc_keys: np.ndarray, drop: Dropout) -> tuple[np.ndarray, np.ndarray]:
     """Piece ids of all texts of a run, one after the other, and the number of ids of each text."""
     full = np.diff(texts.bounds) > 0
@@ -224,17 +276,16 @@ def encode_run(vocab: Vocabulary, texts: Texts, doc_keys: np.ndarray, drop: Drop
     word = span_ids(data, starts, ends)
     serial = np.arange(len(starts)) - np.searchsorted(starts, first)[np.searchsorted(first, starts, side="right") - 1]
     limit = np.uint64(min(int(drop.rate * 2.0**64), 2**64 - 1))
-    variants = np.uint64(drop.variants if drop.rate > 0 else 1)
-    variant = (mixed(doc_keys[doc] ^ serial.astype(np.uint64) * np.uint64(0xA0761D6478BD642F)) % variants).astype(np.int64)
-    back = value_ids(word * int(variants) + variant)
+    firsts = np.zeros(int(word.max()) + 1, np.int64)
+    firsts[word[::-1]] = np.arange(len(word))[::-1]  # the first place of each word
+    hashes = span_hashes(data, starts[firsts], ends[firsts])
+    key = mixed(hashes[word] ^ np.uint64((drop.seed * 0xD6E8FEB86659FD93 + 1) % 2**64)
+                ^ mixed(doc_keys[doc] ^ serial.astype(np.uint64) * np.uint64(0xA0761D6478BD642F)))
+    symbols, bounds = _symbols(vocab, data, starts[firsts], ends[firsts])
+    back = _alike(vocab, symbols, bounds, word, key, limit)
     one = np.zeros(int(back.max()) + 1, np.int64)
     one[back[::-1]] = np.arange(len(back))[::-1]  # the first place of each
-
-    u_starts, u_ends = starts[one], ends[one]
-    key = mixed(span_hashes(data, u_starts, u_ends) ^ np.uint64((drop.seed * 0xD6E8FEB86659FD93 + 1) % 2**64)
-                ^ variant[one].astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB))
-    symbols, bounds = _symbols(vocab, data, u_starts, u_ends)
-    lengths = np.diff(bounds)
+    key, lengths, bounds = key[one], np.diff(bounds)[word[one]], bounds[word[one]]
     done, sizes = [], np.zeros(len(one), np.int64)
     for low, width in ((0, 6), (6, 10), (10, 16), (16, 28), (28, LOCKSTEP)):
         rows = np.flatnonzero((lengths > low) & (lengths <= width))
@@ -243,7 +294,7 @@ def encode_run(vocab: Vocabulary, texts: Texts, doc_keys: np.ndarray, drop: Drop
             sizes[rows] = (cut >= 0).sum(axis=1)
             done.append((rows, cut[cut >= 0]))
     for i in np.flatnonzero(lengths > LOCKSTEP):
-        ids = _heaped(vocab, symbols[bounds[i]: bounds[i + 1]], key[i], limit)
+        ids = _heaped(vocab, symbols[bounds[i]: bounds[i] + lengths[i]], key[i], limit)
         sizes[i] = len(ids)
         done.append((np.array([i]), ids))
     order = np.concatenate([rows for rows, _ in done])
@@ -284,15 +335,27 @@ def _tables(pieces) -> Vocabulary:
     return _built[key]
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """Adds mix_copy, the number from 0 of a row among those of equal id and text, so that copies are cut differently."""
+    alike = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
+    return docs.withColumn("mix_copy", F.row_number().over(alike) - 1)
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, text and the number of the copy, 0 where the documents have none."""
+    copy = F.coalesce(F.col("mix_copy").cast("long"), F.lit(0)) if "mix_copy" in docs.columns else F.lit(0)
+    return docs.select("doc_id", F.col("text").cast("string").alias("text"), copy.cast("long").alias("mix_copy"))
+
+
 def encode(docs: DataFrame, drop: Dropout = Dropout(), path: str = MODEL_FILE) -> DataFrame:
     """doc_id, ids, text_sha256 per row.
 
-    Nulls: a null text is empty and has no ids; rows with a null id are keyed alike. Repeated rows get equal ids. A
-    literal U+2581 in a text becomes byte pieces, so that decoding gives it back. An empty table gives no rows. Other
-    columns are not read.
+    Nulls: a null text is empty and has no ids; rows with a null id are keyed alike. Repeated rows get equal ids,
+    unless a column mix_copy numbers them. A literal U+2581 in a text becomes byte pieces, so that decoding gives it
+    back. An empty table gives no rows. Other columns are not read.
     """
     pieces = _vocabulary(docs.sparkSession, path)
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
+    return _texts(docs).mapInArrow(
         _encoder(pieces, drop), "doc_id long, ids array<int>, text_sha256 string")
 
 
@@ -302,6 +365,8 @@ def _encoder(pieces, drop: Dropout):
         for batch in batches:
             keys = mixed(batch.column("doc_id").cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False).view(np.uint64)
                          ^ np.uint64(drop.seed % 2**64))
+            copies = batch.column("mix_copy").to_numpy(zero_copy_only=False).view(np.uint64)
+            keys = np.where(copies == 0, keys, mixed(keys ^ copies * np.uint64(0xE7037ED1A0B428DB)))
             ids, sizes, digests = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], []
             for texts in text_runs(batch.column("text"), RUN_BYTES):
                 x, n = encode_run(vocab, texts, keys[texts.first: texts.first + texts.n], drop)
@@ -351,5 +416,5 @@ def encoded_documents(docs: DataFrame, drop: Dropout = Dropout(), path: str = MO
                                               pc.list_value_length(batch.column("ids")).cast(pa.int64()), batch.column("text_sha256"), same],
                                              names=["doc_id", "ids", "n_ids", "text_sha256", "lossless"])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
+    return _texts(docs).mapInArrow(
         run, "doc_id long, ids array<int>, n_ids long, text_sha256 string, lossless boolean")

@@ -27,7 +27,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pieces.encoded_documents(docs)
+    return pieces.encoded_documents(pieces.numbered(docs))
 
 
 STAGES = [

@@ -11,6 +11,7 @@ import pyarrow as pa
 import pytest
 from tests.llm.conftest import sentence
 
+import corpus_pipeline
 from campaignry.llm import components, counting, exact, jaccard, licenses, mixing, pieces, quality, queries, secrets, sharding, warc
 from campaignry.session import local_frame
 
@@ -242,6 +243,27 @@ def test_heap_and_lockstep_agree(monkeypatch):
         assert ids.tolist() == wide[i].tolist()
 
 
+def test_every_occurrence_is_cut_on_its_own(documents, monkeypatch):
+    text = "international " * 400
+    drop = pieces.Dropout(rate=0.3)
+    vocab, (ids,) = encoded([text], drop)
+    parts = [bytes(vocab.text[at: at + n]).decode() for at, n in zip(vocab.text_at[ids].tolist(), vocab.text_size[ids].tolist())]
+    assert len(set("|".join(parts).split(" "))) > 20
+    rng = random.Random(4)
+    texts = [*TEXTS, text, *(sentence(rng, 300) for _ in range(5))]
+    shared = encoded(texts, drop)[1]
+    monkeypatch.setattr(pieces, "SHARED", 0)
+    assert all(a.tolist() == b.tolist() for a, b in zip(shared, encoded(texts, drop)[1]))
+
+
+def test_copies_are_cut_differently(documents, spark):
+    text = sentence(random.Random(3), 200)
+    docs = documents([(1, text), (1, text)])
+    a, b = (r["ids"] for r in rows(corpus_pipeline.encode_pieces(spark, docs, "")))
+    c, d = (r["ids"] for r in rows(pieces.encoded_documents(docs)))
+    assert a != b and c == d and c in (a, b)
+
+
 # Secrets and licenses
 
 def test_secret_spans(documents):
