@@ -4,8 +4,8 @@ The items are groups of equal texts. Groups below a small part of a shard's byte
 their text, into a fixed number of bundles; larger ones are items of their own, of which there can only be so many. So
 the differencing itself handles a number of items that a parameter bounds, whatever the input, and it still has small
 items to level what the large ones leave: the two partial partitions with the largest spread are combined, the
-heaviest shard of one with the lightest of the other, until one is left. A group of more than a quarter of a shard
-cannot be levelled as a whole; it is dealt out in parts.
+heaviest shard of one with the lightest of the other, until one is left. Only a group of more than a shard is divided,
+into as few parts of equally many copies as none is larger than a shard.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ class ShardPlan:
     shards: int = 16
     bundles: int = 4096  # of small groups
     single: int = 64  # a group of more than one such part of a shard's bytes is an item of its own
-    divided: int = 4  # a group of more than one such part is dealt out in parts of about that size
     rows_per_chunk: int = 50_000  # for the numbering inside shards
+    copies_per_chunk: int = 2_000  # for the numbering inside divided groups
 
 
 def differenced(parts: Iterable[tuple[list[int], list]], shards: int) -> tuple[list[int], list[list]]:
@@ -80,6 +80,18 @@ def _homes(plan: ShardPlan):
     return run
 
 
+def _divided(rows: DataFrame, chunks: int) -> DataFrame:
+    """Rows of the groups to divide with their item; copies are numbered in chunks, so that no task holds a group."""
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("row"), F.lit(max(1, chunks))).cast("int"))
+    counts = rows.groupBy("hash", "chunk").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("hash").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("hash", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("hash", "chunk").orderBy("row")
+    at = F.col("offset") + F.row_number().over(inside) - 1
+    part = F.floor(at * F.col("parts") / F.col("copies")).cast("string")
+    return rows.join(offsets, ["hash", "chunk"]).withColumn("item", F.concat(F.hex("hash"), F.lit(" "), part)).drop("offset", "chunk")
+
+
 def shard(docs: DataFrame, plan: ShardPlan = ShardPlan()) -> DataFrame:
     """One row per input row: doc_id, size, text_crc32, law ('bytes'), shard, slot, grown_shard (null).
 
@@ -97,13 +109,16 @@ def shard(docs: DataFrame, plan: ShardPlan = ShardPlan()) -> DataFrame:
     total = groups.agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).first()
     share = (total["bytes"] or 0) / plan.shards
     # Groups of more than a part of a shard: at most shards x single of them, whatever the input.
-    large = groups.filter(F.col("bytes") > share / plan.single).select("hash", F.when(
-        F.col("bytes") > share / plan.divided, F.least(F.col("n"), F.ceil(F.col("bytes") * plan.divided / share))).otherwise(1).cast("int").alias("parts"))
+    most = F.greatest(F.floor(F.col("n") * share / F.col("bytes")), F.lit(1))  # copies that fit in a shard
+    parts = F.when(F.col("bytes") > share, F.ceil(F.col("n") / most)).otherwise(1)
+    large = groups.filter(F.col("bytes") > share / plan.single).select("hash", parts.cast("long").alias("parts"), F.col("n").alias("copies"))
     bundle = F.concat(F.lit("bundle "), F.pmod(F.xxhash64("hash"), F.lit(plan.bundles)).cast("string"))
-    part = F.concat(F.hex("hash"), F.lit(" "), F.pmod(F.xxhash64("row"), F.col("parts")).cast("string"))
-    placed = rows.join(F.broadcast(large), "hash", "left").withColumn("item", F.coalesce(part, bundle)).drop("parts", "hash")
+    placed = rows.join(F.broadcast(large), "hash", "left")
+    whole = placed.filter("parts IS NULL OR parts = 1").withColumn(
+        "item", F.when(F.col("parts") == 1, F.concat(F.hex("hash"), F.lit(" 0"))).otherwise(bundle))
+    placed = whole.unionByName(_divided(placed.filter("parts > 1"), -(-(total["n"] or 0) // plan.copies_per_chunk))).drop("parts", "copies", "hash")
     placed = cut_lineage(placed)
-    items = placed.groupBy("item").agg(F.sum("size").alias("bytes"))  # bundles + shards x (single + divided) rows at most
+    items = placed.groupBy("item").agg(F.sum("size").alias("bytes"))  # bundles + shards x (single + 2) rows at most
     homes = items.coalesce(1).mapInArrow(_homes(plan), "item string, shard int")
     dealt = placed.join(F.broadcast(homes), "item")  # as many rows as items
 

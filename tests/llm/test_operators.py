@@ -116,6 +116,20 @@ def test_a_group_of_a_third_of_all_rows_is_dealt_out(documents):
     assert max(sums.values()) < 1.05 * min(sums.values())
 
 
+def test_groups_up_to_a_shard_stay_whole(documents):
+    other = [f"text number {i:04d} of many" for i in range(2000)]
+    share = sum(len(t) + 1 for t in other) / 16
+    given = other + ["half a shard of copies"] * round(0.55 * share / 23) + ["nearly a whole one of copies"] * round(0.95 * share / 29)
+    given += ["two and a half shards and so on"] * round(3.2 * share / 31)
+    total = sum(len(t) + 1 for t in given) / 16
+    homes, sums = defaultdict(set), Counter()
+    for r in rows(sharding.shard(documents(list(enumerate(given))))):
+        homes[given[r["doc_id"]]].add(r["shard"])
+        sums[r["shard"]] += r["size"]
+    assert [len(homes[t]) for t in given[2000:]] == [1 if t[0] in "hn" else 3 for t in given[2000:]]
+    assert all(len(homes[t]) == 1 for t in other) and max(sums.values()) < 1.02 * total
+
+
 # N-gram join
 
 def brute_components(given):
