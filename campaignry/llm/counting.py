@@ -84,8 +84,8 @@ class State:
     def edited(self, counter: Counter, text: str, start: int, end: int, replacement: str) -> tuple[State, str, int]:
         """State and text after text[start:end] became the replacement, and the characters re-encoded.
 
-        A pre-token depends on its characters and on one more, so leaves that end before ``start`` hold. Re-encoding
-        begins at the first other leaf and stops at the first old leaf border behind the edit that is a border of the
+        A pre-token depends on its characters and on two more (blanks before a word leave it their last; 're, 've and
+        'll need both letters), so leaves that end two characters before ``start`` hold. Re-encoding begins at the first other leaf and stops at the first old leaf border behind the edit that is a border of the
         new pre-tokens, too: from there on both cut the same characters the same way.
         """
         start = min(max(start, 0), len(text))
@@ -98,7 +98,7 @@ class State:
             at += n
             borders.append(at)
         first = 0
-        while first < len(sums) and borders[first + 1] < start:
+        while first < len(sums) and borders[first + 1] + 1 < start:
             first += 1
         begin = borders[first]
         old = {b + shift: i for i, b in enumerate(borders) if b >= end and i > first}

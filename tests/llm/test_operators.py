@@ -335,6 +335,20 @@ def test_edits_keep_the_counts_right():
             assert state.nodes == counting.tree(state.nodes[: len(state.lengths)])
 
 
+def test_edits_behind_blanks_and_contractions_at_leaf_borders():
+    counter = counting.Counter(counting.read_ranks())
+    for unit in ("x  ", "x   y", "'rx", "'lx'vx", "a\n\n b", "  "):
+        for pad in range(counting.LEAF + 1):
+            text = " w" * pad + unit * 40
+            state, at = counting.State.of(counter, text), 0
+            for n in state.lengths:
+                at += n
+                for start in range(max(0, at - 1), min(len(text), at + 3) + 1):
+                    for new in (" insb", "e", "l"):
+                        after, changed, _ = state.edited(counter, text, start, start + (new != " insb"), new)
+                        assert after.total == len(counter.encoding.encode_ordinary(changed)), (unit, pad, start, new)
+
+
 def test_edits_touch_little(documents):
     text = sentence(random.Random(1), 5000)
     docs = documents([(1, text), (2, None)])
