@@ -2,7 +2,7 @@ from datetime import date
 
 import numpy as np
 import pytest
-from conftest import money, rows_by, touch, won
+from tests.conftest import money, rows_by, touch, won
 from pyspark.ml.evaluation import ClusteringEvaluator
 
 from campaignry.operators import clusters, derive, explore, features, rfm

@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import rows_by, touch
+from tests.conftest import rows_by, touch
 from pyspark.sql import functions as F
 
 from campaignry.operators import load

@@ -1,7 +1,7 @@
 """Every query with a DuckDB text must give the same rows on the smallest data."""
 
 import pytest
-from conftest import SMALL
+from tests.conftest import SMALL
 
 import __spark_entry__ as entry
 from tools.check import compare, connect

@@ -1,7 +1,7 @@
 from dataclasses import replace
 from datetime import date
 
-from conftest import rows_by, touch, won
+from tests.conftest import rows_by, touch, won
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

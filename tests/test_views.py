@@ -1,7 +1,7 @@
 from datetime import date, timedelta
 
 import pytest
-from conftest import money, rows_by, touch, won
+from tests.conftest import money, rows_by, touch, won
 
 from campaignry.operators import abtest, campaign, channel, cohorts, revenue, segments, trends
 
