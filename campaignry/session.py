@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -53,17 +55,38 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within it, each finished query gives its shuffle files back at once, not when the driver next collects garbage."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows written once to the shared folder and read back.
 
     They survive the loss of any executor, later readers load only the columns they use, and Spark
-    knows their size when it picks a join.
+    knows their size when it picks a join. The shuffle files behind them go.
     """
     path = scratch_path(df.sparkSession, "cut")
-    df.write.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Gives back a table written below the shared folder, once nothing reads it any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def local_frame(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     """A short driver-side list as a local relation, whose size Spark knows when it picks a join."""
     schema = StructType.fromDDL(ddl)
