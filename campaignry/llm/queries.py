@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from campaignry.llm import counting, exact, jaccard, licenses, mixing, pieces, quality, secrets, sharding, warc
+from campaignry.llm import align, counting, exact, jaccard, kmeans, licenses, mixing, pieces, quality, secrets, sharding, warc, windows
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -55,6 +56,19 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align.aligned_documents(table(spark, folder, "documents"))
+
+
+def op12_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = windows.cut_documents(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return kmeans.clustered(table(spark, folder, "embeddings"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -63,10 +77,11 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = [op1_warc, op2_mixing, op3_sharding, op4_jaccard_join, op5_exact_dedup, op6_pieces, op7_secret_scan, op8_license_scan,
-           op9_token_counts, op10_quality_rules, pipeline]
+           op9_token_counts, op10_quality_rules, op11_alignment, op12_substring_dedup, op13_centroids, pipeline]
     return {op.__name__: op for op in ops}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_warc": warc.ORACLE, "op2_mixing": mixing.ORACLE, "op5_exact_dedup": exact.ORACLE,
-            "op7_secret_scan": secrets.ORACLE, "op8_license_scan": licenses.oracle()}
+            "op7_secret_scan": secrets.ORACLE, "op8_license_scan": licenses.oracle(),
+            "op12_substring_dedup": windows.ORACLE, "op13_centroids": kmeans.oracle()}

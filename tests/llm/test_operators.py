@@ -25,7 +25,7 @@ def rows(df):
     return [r.asDict() for r in df.collect()]
 
 
-@pytest.mark.parametrize("name", [n for n in queries.queries() if n not in ("pipeline", "op1_warc", "op10_quality_rules")])
+@pytest.mark.parametrize("name", [n for n in queries.queries() if n not in ("pipeline", "op1_warc", "op10_quality_rules", "op13_centroids")])
 def test_awkward_and_empty_documents(name, spark, documents, monkeypatch):
     for given in (AWKWARD, []):
         monkeypatch.setattr(queries, "table", lambda *_: documents(given))
