@@ -6,8 +6,9 @@ A candidate is skipped where a hash keyed by seed, document, copy, the word and
 piece falls below the dropout rate, so a rerun gives the same pieces and each occurrence of a word is cut on its own. Characters without a piece become byte pieces.
 
 No piece holds a space after another character, so a text falls into independent words of leading spaces and other
-characters. Many words are worked on in lockstep; a long word uses a heap. Short equal words of a run share the work
-where the skip decisions on every part of the word that is a piece are the same, since nothing else tells them apart.
+characters. Many words are worked on in lockstep; a long word uses a heap. A short word is merged once without skips, and
+every occurrence that skips none of the candidates that came up there shares the result; the others are worked out one
+by one.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from campaignry.llm.batches import Texts, list_array, mixed, span_hashes, span_ids, text_runs, value_ids
+from campaignry.llm.batches import Texts, list_array, mixed, span_hashes, span_ids, text_runs
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"  # fixed value: the sign for a space in pieces
@@ -31,7 +32,6 @@ NONE = np.iinfo(np.int32).max
 RUN_BYTES = 1 << 20  # texts that share their equal words
 LOCKSTEP = 48  # longest word, in symbols, that is worked on in lockstep
 SHARED = 16  # longest word, in symbols, whose equal occurrences may share their work
-BITS = 62  # most skip decisions of such a word
 CHUNK = 1 << 15  # occurrences whose decisions are made at once
 
 
@@ -133,26 +133,41 @@ def _symbols(vocab: Vocabulary, data: np.ndarray, starts: np.ndarray, ends: np.n
     return flat[gather] if len(flat) else np.zeros(0, np.int32), bounds
 
 
-def _lockstep(vocab: Vocabulary, symbols: np.ndarray, starts: np.ndarray, width: int, lengths: np.ndarray, key: np.ndarray, limit: np.uint64):
-    """Final symbols (-1 beyond the end) of words of at most ``width`` symbols; one merge a word and round."""
+def _lockstep(vocab: Vocabulary, symbols: np.ndarray, starts: np.ndarray, width: int, lengths: np.ndarray, key: np.ndarray | None = None,
+              limit: np.uint64 = np.uint64(0), first: np.ndarray | None = None, trace: list | None = None):
+    """Final symbols (-1 beyond the end) of words of at most ``width`` symbols, one merge a word and round, and the first ranks.
+
+    Without a key nothing is skipped; ``trace`` then gets word, place and rank of every candidate that comes up.
+    ``first`` are the ranks of the words' adjacent characters, if known.
+    """
     n = len(starts)
     column = np.arange(width)
     inside = column < lengths[:, None]
     sym = np.where(inside, symbols[np.minimum(starts[:, None] + column, len(symbols) - 1)], -1).astype(np.int32)
     out = sym.copy()
     place = np.broadcast_to(column.astype(np.int32), (n, width)).copy()
-    rank = np.full((n, width), NONE, np.int32)
+    who = np.arange(n)
 
     def candidates(rows, at):
         left, right = sym[rows, at], sym[rows, at + 1]
         r = np.where(right >= 0, vocab.ranks(left, right), NONE)
-        r[(r != NONE) & _skips(key[rows], place[rows, at], r, limit)] = NONE
+        some = np.flatnonzero(r != NONE)
+        if key is not None:
+            r[some[_skips(key[rows[some]], place[rows[some], at[some]], r[some], limit)]] = NONE
+        elif trace is not None:
+            trace.append((who[rows[some]], place[rows[some], at[some]], r[some]))
         return r
 
-    for c in range(width - 1):
-        rows = np.flatnonzero(sym[:, c + 1] >= 0)
-        rank[rows, c] = candidates(rows, np.full(len(rows), c))
-    who = np.arange(n)
+    if first is None:
+        rank = np.full((n, width), NONE, np.int32)
+        for c in range(width - 1):
+            rows = np.flatnonzero(sym[:, c + 1] >= 0)
+            rank[rows, c] = candidates(rows, np.full(len(rows), c))
+    else:
+        rank = first.copy()
+        rows, at = np.nonzero(rank != NONE)
+        rank[rows, at] = np.where(_skips(key[rows], at, rank[rows, at], limit), NONE, rank[rows, at])
+    before_merges = rank.copy() if first is None else first
     while len(who):
         at = rank.argmin(axis=1)
         rows = np.arange(len(who))
@@ -161,14 +176,16 @@ def _lockstep(vocab: Vocabulary, symbols: np.ndarray, starts: np.ndarray, width:
         if done.any():
             out[who[done]] = sym[done]
             keep = ~done
-            who, sym, place, rank, key, at, best = who[keep], sym[keep], place[keep], rank[keep], key[keep], at[keep], best[keep]
+            who, sym, place, rank, at, best = who[keep], sym[keep], place[keep], rank[keep], at[keep], best[keep]
+            key = key[keep] if key is not None else None
             rows = np.arange(len(who))
             if not len(who):
                 break
         sym[rows, at] = vocab.at_rank[best]
         source = np.minimum(column + (column > at[:, None]), width - 1)
         last = sym[:, -1].copy()
-        sym, place, rank = (np.take_along_axis(x, source, axis=1) for x in (sym, place, rank))
+        source += (rows * width)[:, None]
+        sym, place, rank = (x.take(source) for x in (sym, place, rank))
         sym[:, -1] = np.where(at == width - 1, last, -1)
         rank[:, -1] = NONE
         rank[rows, at] = NONE
@@ -176,7 +193,7 @@ def _lockstep(vocab: Vocabulary, symbols: np.ndarray, starts: np.ndarray, width:
         rank[here, at[here]] = candidates(here, at[here])
         before = rows[at > 0]
         rank[before, at[before] - 1] = candidates(before, at[before] - 1)
-    return out
+    return out, before_merges
 
 
 def _heaped(vocab: Vocabulary, symbols: np.ndarray, key: np.uint64, limit: np.uint64) -> np.ndarray:
@@ -209,53 +226,21 @@ def _heaped(vocab: Vocabulary, symbols: np.ndarray, key: np.uint64, limit: np.ui
     return np.array([s for s in sym if s >= 0], np.int32)
 
 
-def _candidates(vocab: Vocabulary, symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
-    """word, start and rank of every part of a word of at most SHARED symbols that merges can make, by word."""
-    found = []
-    for low, width in ((1, 6), (6, 10), (10, SHARED)):
-        rows = np.flatnonzero((lengths > low) & (lengths <= min(width, SHARED)))
-        if not len(rows):
-            continue
-        column = np.arange(width)
-        one = np.where(column < lengths[rows, None], symbols[np.minimum(starts[rows, None] + column, len(symbols) - 1)], -1)
-        made = {1: one}  # the piece of each part by its size and start
-        for size in range(2, width + 1):
-            n = width - size + 1
-            made[size] = whole = np.full((len(rows), n), -1, np.int32)
-            for k in range(1, size):
-                left, right = made[k][:, :n], made[size - k][:, k: k + n]
-                r, c = np.nonzero((left >= 0) & (right >= 0) & (whole < 0))
-                rank = vocab.ranks(left[r, c], right[r, c])
-                hit = rank != NONE
-                whole[r[hit], c[hit]] = vocab.at_rank[rank[hit]]
-            r, c = np.nonzero(whole >= 0)
-            found.append((rows[r], c, vocab.rank[whole[r, c]]))
-    word, place, rank = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
-    order = np.argsort(word, kind="stable")
-    return word[order], place[order], rank[order]
-
-
-def _alike(vocab: Vocabulary, symbols: np.ndarray, bounds: np.ndarray, word: np.ndarray, key: np.ndarray, limit: np.uint64) -> np.ndarray:
-    """Small numbers of the occurrences, equal only for equal words with the same skip decisions."""
-    if not limit:
-        return word
-    lengths = np.diff(bounds)
-    owner, place, rank = _candidates(vocab, symbols, bounds[:-1], lengths)
-    many = np.bincount(owner, minlength=len(lengths))
+def _leaves(trace: list, n: int, word: np.ndarray, key: np.ndarray, limit: np.uint64) -> np.ndarray:
+    """Which occurrences skip a candidate that comes up while their word is merged without skips; the others end as it does."""
+    owner, place, rank = (np.concatenate(x) for x in zip(*trace)) if trace else (np.zeros(0, np.int64),) * 3
+    order = np.argsort(owner, kind="stable")
+    place, rank = place[order], rank[order]
+    many = np.bincount(owner, minlength=n)
     first = np.cumsum(many) - many
-    shared = (lengths <= SHARED) & (many <= BITS)
-    skips = (np.uint64(1 << BITS) + np.arange(len(word)).astype(np.uint64))  # occurrences on their own
+    out = np.zeros(len(word), bool)
     for a in range(0, len(word), CHUNK):
-        at = a + np.flatnonzero(shared[word[a: a + CHUNK]])
-        each = many[word[at]]
-        ends = np.concatenate(([0], np.cumsum(each)))
-        bit = np.arange(ends[-1]) - np.repeat(ends[:-1], each)
-        one = np.repeat(first[word[at]], each) + bit
-        skip = _skips(np.repeat(key[at], each), place[one], rank[one], limit)
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(skip.astype(np.uint64) << bit.astype(np.uint64), dtype=np.uint64)))
-        skips[at] = sums[ends[1:]] - sums[ends[:-1]]
-    decided = value_ids(skips)
-    return value_ids(word * (int(decided.max()) + 1) + decided)
+        each = many[word[a: a + CHUNK]]
+        ends = np.cumsum(each)
+        at = np.arange(ends[-1]) + np.repeat(first[word[a: a + CHUNK]] - ends + each, each)
+        skip = np.flatnonzero(_skips(np.repeat(key[a: a + CHUNK], each), place[at], rank[at], limit))
+        out[a + np.searchsorted(ends, skip, side="right")] = True
+    return out
 
 
 def encode_run(vocab: Vocabulary, texts: Texts, doc_keys: np.ndarray, drop: Dropout) -> tuple[np.ndarray, np.ndarray]:
@@ -282,25 +267,40 @@ def encode_run(vocab: Vocabulary, texts: Texts, doc_keys: np.ndarray, drop: Drop
     key = mixed(hashes[word] ^ np.uint64((drop.seed * 0xD6E8FEB86659FD93 + 1) % 2**64)
                 ^ mixed(doc_keys[doc] ^ serial.astype(np.uint64) * np.uint64(0xA0761D6478BD642F)))
     symbols, bounds = _symbols(vocab, data, starts[firsts], ends[firsts])
-    back = _alike(vocab, symbols, bounds, word, key, limit)
-    one = np.zeros(int(back.max()) + 1, np.int64)
-    one[back[::-1]] = np.arange(len(back))[::-1]  # the first place of each
-    key, lengths, bounds = key[one], np.diff(bounds)[word[one]], bounds[word[one]]
-    done, sizes = [], np.zeros(len(one), np.int64)
-    for low, width in ((0, 6), (6, 10), (10, 16), (16, 28), (28, LOCKSTEP)):
+    lengths = np.diff(bounds)
+    back, sizes, done, known = np.zeros(len(word), np.int64), [], [], 0
+
+    def add(cut: np.ndarray) -> int:
+        nonlocal known
+        sizes.append((cut >= 0).sum(axis=1))
+        done.append(cut[cut >= 0])
+        known += len(cut)
+        return known - len(cut)
+
+    for low, width in ((0, 6), (6, 10), (10, SHARED), (SHARED, 28), (28, LOCKSTEP)):
         rows = np.flatnonzero((lengths > low) & (lengths <= width))
-        if len(rows):
-            cut = _lockstep(vocab, symbols, bounds[rows], width, lengths[rows], key[rows], limit)
-            sizes[rows] = (cut >= 0).sum(axis=1)
-            done.append((rows, cut[cut >= 0]))
-    for i in np.flatnonzero(lengths > LOCKSTEP):
-        ids = _heaped(vocab, symbols[bounds[i]: bounds[i] + lengths[i]], key[i], limit)
-        sizes[i] = len(ids)
-        done.append((np.array([i]), ids))
-    order = np.concatenate([rows for rows, _ in done])
-    flat = np.concatenate([ids for _, ids in done])
-    offset = np.zeros(len(one), np.int64)
-    offset[order] = np.concatenate(([0], np.cumsum(sizes[order])))[:-1]
+        if not len(rows):
+            continue
+        number = np.full(len(lengths), -1)
+        number[rows] = np.arange(len(rows))
+        here = np.flatnonzero(number[word] >= 0)
+        mine, trace, first = number[word[here]], [], None
+        alone = np.full(len(here), bool(limit))  # occurrences that are worked out one by one
+        if width <= SHARED or not limit:
+            cut, first = _lockstep(vocab, symbols, bounds[rows], width, lengths[rows], trace=trace)
+            back[here] = add(cut) + mine
+            if limit:
+                alone = _leaves(trace, len(rows), mine, key[here], limit)
+        own = here[alone]
+        if len(own):
+            cut, _ = _lockstep(vocab, symbols, bounds[word[own]], width, lengths[word[own]], key[own], limit,
+                               None if first is None else first[mine[alone]])
+            back[own] = add(cut) + np.arange(len(own))
+    for i in np.flatnonzero(lengths[word] > LOCKSTEP):
+        w = word[i]
+        back[i] = add(_heaped(vocab, symbols[bounds[w]: bounds[w] + lengths[w]], key[i], limit)[None, :])
+    sizes, flat = np.concatenate(sizes), np.concatenate(done)
+    offset = np.cumsum(sizes) - sizes
     each = sizes[back]
     out_at = np.concatenate(([0], np.cumsum(each)))
     ids = flat[np.repeat(offset[back] - out_at[:-1], each) + np.arange(out_at[-1])]

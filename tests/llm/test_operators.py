@@ -190,6 +190,35 @@ def test_bound_is_never_below_the_overlap():
         assert jaccard.overlap_bound(jaccard.folded(x, w), jaccard.folded(y, w), len(a), len(b)) >= len(np.intersect1d(a, b))
 
 
+def test_rows_without_id_keep_their_links(documents):
+    """The doubles of a text without id go, where its text also has an id or not; links pass through texts without id."""
+    words = [f"w{i}" for i in range(60)]
+    text = lambda *gone: " ".join(w for i, w in enumerate(words) if i not in gone)
+    stay = lambda given: sorted(((r["doc_id"], r["text"]) for r in rows(jaccard.drop_near_duplicates(documents(given)))), key=str)
+    assert stay([(None, text()), (1, text()), (None, "")]) == [(1, text()), (None, "")]
+    assert stay([(None, text()), (None, text())]) == [(None, text())]
+    assert stay([(None, text()), (5, text(0)), (7, text(0)), (7, text(0))]) == [(5, text(0))]
+    assert stay([(4, text()), (4, text()), (4, "else " * 9)]) == sorted([(4, text()), (4, "else " * 9)], key=str)
+    chain = [(9, text(*range(10))), (None, text()), (3, text(*range(50, 60)))]  # 46, 56 and 46 shingles; the ends share 36 of 56
+    assert {r["component_id"] for r in rows(jaccard.near_duplicates(documents(chain)))} == {3}
+    assert stay([]) == []
+
+
+def test_blocks_write_no_pairs(spark):
+    """Sets that all pass the bound with each other: a tree, not all pairs, from either block step."""
+    rng, plan = np.random.default_rng(6), jaccard.JoinPlan()
+    base = np.unique(jaccard.mixed(np.arange(400, dtype=np.uint64)))
+    sets = [np.sort(rng.choice(base, 370, replace=False)) for _ in range(60)]
+    sig = [jaccard.signature(x, plan.max_signature_bits).tobytes() for x in sets]
+    n = len(sets)
+    block = {"key": [1] * n, "band": [2] * n, "component": [1] * n, "i": [0] * n, "j": [0] * n, "node": list(range(n)), "n": [370] * n,
+             "comp": list(range(n)), "home": [True] * n, "block": [0] * n, "signature": sig, "shingles": [x.tobytes() for x in sets]}
+    for step in (jaccard._forest, jaccard._joining):
+        assert sum(len(b) for b in step(plan)([pa.RecordBatch.from_pydict(block)])) == n - 1
+    block["comp"] = [0] * n
+    assert sum(len(b) for b in jaccard._joining(plan)([pa.RecordBatch.from_pydict(block)])) == 0
+
+
 def test_connected_components(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(0, 200) if i % 50] + [(1000, 1000 + i) for i in range(1, 60)] + [(rng.randint(2000, 2100), rng.randint(2000, 2100)) for _ in range(80)]
@@ -243,18 +272,56 @@ def test_pieces_decode_losslessly_and_repeat(rate):
         assert any(a.tolist() != b.tolist() for a, b in zip(got, encoded(TEXTS, pieces.Dropout(rate=rate, seed=1))[1]))
 
 
-def test_heap_and_lockstep_agree(monkeypatch):
-    drop = pieces.Dropout(rate=0.3)
-    words = ["thequickbrownfoxjumpsoverthelazydog", "abcabcabcabcabcabcabcabcabcabc", "internationalisation"]
-    wide = encoded(words, drop)[1]
-    vocab = pieces.Vocabulary(pieces.read_model())
-    for i, w in enumerate(words):
-        run = next(pieces.text_runs(pa.array([w])))
-        with monkeypatch.context() as m:
-            m.setattr(pieces, "_lockstep", lambda v, s, at, width, n, key, limit: np.stack([np.pad(
-                pieces._heaped(v, s[a: a + k], h, limit), (0, width), constant_values=-1)[:width] for a, k, h in zip(at, n, key)]))
-            ids, _ = pieces.encode_run(vocab, run, np.array([i], np.uint64), drop)
-        assert ids.tolist() == wide[i].tolist()
+def plain_agenda(text, doc_key, drop):
+    """The agenda of one text, word by word, in ordinary Python."""
+    whole = 2**64
+
+    def mix(x):
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = (x ^ x >> shift) * factor % whole
+        return x ^ x >> 31
+    model = pieces.read_model()
+    number = {p: i for i, (p, _, kind) in enumerate(model) if not kind}
+    order = {i: r for r, i in enumerate(sorted(number.values(), key=lambda i: (-model[i][1], i)))}
+    byte = {int(p[3:-1], 16): i for i, (p, _, kind) in enumerate(model) if kind == 1}
+    out = []
+    for serial, word in enumerate(re.findall(" +[^ ]*", " " + text) if text else []):
+        raw = np.frombuffer(word.encode(), np.uint8)
+        h = int(pieces.span_hashes(raw, np.array([0]), np.array([len(raw)]))[0])
+        key = mix(h ^ (drop.seed * 0xD6E8FEB86659FD93 + 1) % whole ^ mix(doc_key ^ serial * 0xA0761D6478BD642F % whole))
+        parts = []  # (string of the piece or None for a byte, id, place)
+        for c in word:
+            c = pieces.SPACE if c == " " else "" if c == pieces.SPACE else c
+            ids = [(c, number[c])] if c in number else [(None, byte[x]) for x in (c or pieces.SPACE).encode()]
+            parts += [(p, i, len(parts) + k) for k, (p, i) in enumerate(ids)]
+        while True:
+            open_ = []
+            for k, ((p, _, place), (q, _, _)) in enumerate(zip(parts, parts[1:])):
+                made = number.get(p + q) if p and q else None
+                if made is not None and mix(key ^ (place << 32 | order[made]) * 0x9E3779B97F4A7C15 % whole) >= int(drop.rate * 2.0**64):
+                    open_.append((order[made], k, p + q, made, place))
+            if not open_:
+                break
+            _, k, string, made, place = min(open_)
+            parts[k: k + 2] = [(string, made, place)]
+        out += [i for _, i, _ in parts]
+    return out
+
+
+@pytest.mark.parametrize("rate", [0.0, 0.1, 0.5])
+def test_pieces_equal_a_plain_agenda(rate):
+    rng = random.Random(7)
+    words = ["thequickbrownfoxjumpsoverthelazydog", "abcabcabcabcabcabcabcabcabcabc", "international", "the", "of", "naïve", "日本語", "x" * 70]
+    texts = [*TEXTS, *words, *(" ".join(rng.choice(words) for _ in range(60)) for _ in range(4))]
+    drop = pieces.Dropout(rate=rate)
+    assert [ids.tolist() for ids in encoded(texts, drop)[1]] == [plain_agenda(t, i, drop) for i, t in enumerate(texts)]
+
+
+def test_encode_and_decode_tables(documents):
+    given = [(1, "one  two\n"), (None, None), (3, "a▁b"), (3, "")]
+    back = rows(pieces.decode(pieces.encode(documents(given), pieces.Dropout(rate=0.4))))
+    assert sorted(((r["doc_id"], r["decoded"]) for r in back), key=str) == sorted(((i, t or "") for i, t in given), key=str)
+    assert all(r["decoded_sha256"] == r["text_sha256"] for r in back)
 
 
 def test_every_occurrence_is_cut_on_its_own(documents, monkeypatch):
