@@ -6,15 +6,16 @@ import random
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.classification import (
+    GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassificationModel,
+    RandomForestClassifier)
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from campaignry.functions import kpi as k
+from campaignry.operators.search import Candidates, FoldSearch, bounded, with_weights
 from campaignry.plans.ordering import SortedRuns, after_keys, running_sums, tile_ends
 from campaignry.session import cut_lineage, local_frame, scratch_path
 from campaignry.tables import Tables
@@ -186,13 +187,8 @@ def prepared(t: Tables, folds: int = 5) -> tuple[PipelineModel, DataFrame, DataF
         train = train_rows(t, folds)
         pipe, names = preprocessor(train)
         model = pipe.fit(train)
-        n = {r["converted"]: r["n"] for r in train.groupBy("converted").agg(F.count(F.lit(1)).alias("n")).collect()}
-        total, pos, neg = sum(n.values()), n.get(1, 0), n.get(0, 0)
-        weight = F.when(F.col("converted") == 1, total / (2.0 * max(pos, 1))).otherwise(total / (2.0 * max(neg, 1)))
-        scale = F.when(F.col("converted") == 1, round(neg / max(pos, 1), 2)).otherwise(1.0)
         keep = [*IDS, "converted", "features"]
-        ready = model.transform(train).withColumns({
-            "label": F.col("converted").cast("double"), "weight": weight, "pos_weight": scale})
+        ready = with_weights(model.transform(train))
         t._memo[key] = (
             model, cut_lineage(ready.select(*keep, "label", "weight", "pos_weight", "fold")),
             cut_lineage(model.transform(test_rows(t)).select(*keep)), names)
@@ -220,13 +216,19 @@ def draws(space: dict, n: int, seed: int = 42) -> list[dict]:
 
 @dataclass
 class Search:
-    """Which settings are tried; the full search is the default."""
+    """Which settings are tried; the full search is the default.
+
+    The folds hold at most ``max_rows`` training rows and the final fits at most ``fit_rows``, both in the order of a hash
+    of the interaction. Scores always cover all test rows.
+    """
 
     logreg: list[dict] = field(default_factory=lambda: list(LOGREG_GRID))
     forest: list[dict] = field(default_factory=lambda: draws(FOREST_SPACE, 20))
     boost: list[dict] = field(default_factory=lambda: draws(BOOST_SPACE, 25))
     folds: int = 5
-    parallelism: int = 4
+    max_rows: int = 2_000
+    fit_rows: int = 20_000
+    parallelism: int | None = None  # fits side by side; as many as the cluster has cores if not given
 
 
 @dataclass
@@ -238,64 +240,65 @@ class Fitted:
     setting: dict
 
 
-def _cross_validate(estimator, settings: list[dict], maps: list[dict], train: DataFrame, search: Search) -> Fitted:
-    """Best setting by mean AUC over the stratified folds."""
-    cv = CrossValidator(
-        estimator=estimator, estimatorParamMaps=maps, numFolds=search.folds, foldCol="fold", parallelism=search.parallelism,
-        evaluator=BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC"))
-    done = cv.fit(train)
-    best = max(range(len(maps)), key=lambda i: done.avgMetrics[i])
-    return Fitted(done.bestModel, done.avgMetrics[best], settings[best])
+SPARK_DEPTH = 30  # Spark grows no deeper trees
 
 
-def fit_logreg(train: DataFrame, search: Search, n: int):
+def _logreg(g: dict, n: int) -> LogisticRegression:
     """Inverse strength C of n rows is regParam 1 / (C n); the inputs are already scaled."""
-    lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", maxIter=1000, standardization=False)
-    maps = [{lr.regParam: 1.0 / (g["C"] * n), lr.elasticNetParam: 1.0 if g["penalty"] == "l1" else 0.0} for g in search.logreg]
-    return _cross_validate(lr, search.logreg, maps, train, search)
+    return LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", maxIter=1000, standardization=False,
+                              regParam=1.0 / (g["C"] * n), elasticNetParam=1.0 if g["penalty"] == "l1" else 0.0)
 
 
-SPARK_DEPTH = 30  # Spark grows no deeper trees
-
-
-def fit_forest(train: DataFrame, search: Search):
+def _forest(g: dict, n: int) -> RandomForestClassifier:
     """A forest; the setting without a depth limit grows to Spark's own limit, which the reported setting says."""
-    rf = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight", seed=42)
-    maps = [{rf.numTrees: g["n_estimators"], rf.maxDepth: g["max_depth"] or SPARK_DEPTH, rf.minInstancesPerNode: g["min_samples_leaf"],
-             rf.featureSubsetStrategy: str(g["max_features"])} for g in search.forest]
-    said = [g | {"max_depth": g["max_depth"] or f"none ({SPARK_DEPTH} in Spark)"} for g in search.forest]
-    return _cross_validate(rf, said, maps, train, search)
+    return RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight", seed=42, numTrees=g["n_estimators"],
+                                  maxDepth=g["max_depth"] or SPARK_DEPTH, minInstancesPerNode=g["min_samples_leaf"],
+                                  featureSubsetStrategy=str(g["max_features"]))
 
 
-def fit_boost(train: DataFrame, search: Search):
+def _boost(g: dict, n: int) -> GBTClassifier:
     """Boosted trees; minimum child weight, split gain and column share map to their nearest Spark settings."""
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", weightCol="pos_weight", seed=42)
-    maps = [{gbt.maxIter: g["n_estimators"], gbt.stepSize: g["learning_rate"], gbt.maxDepth: g["max_depth"],
-             gbt.subsamplingRate: g["subsample"], gbt.featureSubsetStrategy: str(float(g["colsample_bytree"])) if g["colsample_bytree"] < 1 else "all",
-             gbt.minInstancesPerNode: g["min_child_weight"], gbt.minInfoGain: float(g["gamma"])} for g in search.boost]
-    return _cross_validate(gbt, search.boost, maps, train, search)
+    return GBTClassifier(featuresCol="features", labelCol="label", weightCol="pos_weight", seed=42, maxIter=g["n_estimators"],
+                         stepSize=g["learning_rate"], maxDepth=g["max_depth"], subsamplingRate=g["subsample"],
+                         featureSubsetStrategy=str(float(g["colsample_bytree"])) if g["colsample_bytree"] < 1 else "all",
+                         minInstancesPerNode=g["min_child_weight"], minInfoGain=float(g["gamma"]))
 
 
 MODELS = {"Logistic Regression": "logistic_regression", "Random Forest": "random_forest", "Boosted Trees": "boosted_trees"}
+KINDS = {"Logistic Regression": LogisticRegressionModel, "Random Forest": RandomForestClassificationModel,
+         "Boosted Trees": GBTClassificationModel}
+
+
+def _candidates(name: str, search: Search) -> Candidates:
+    settings, build = {"Logistic Regression": (search.logreg, _logreg), "Random Forest": (search.forest, _forest),
+                       "Boosted Trees": (search.boost, _boost)}[name]
+    return Candidates(MODELS[name], settings, build)
+
+
+def _said(setting: dict) -> dict:
+    """A setting as it is reported."""
+    deep = "max_depth" in setting and setting["max_depth"] is None
+    return setting | ({"max_depth": f"none ({SPARK_DEPTH} in Spark)"} if deep else {})
 
 
 def models(t: Tables, search: Search | None = None, names=tuple(MODELS)) -> dict[str, Fitted]:
-    """The fitted models by name; each is fitted once per table set and search."""
+    """The fitted models by name; each is fitted once per data set and search, by whichever driver comes first."""
     search = search or t._memo.setdefault("search", Search())
-    _, train, _, _ = prepared(t, search.folds)
     have = t._memo.setdefault(("models", repr(search)), {})
-    for name in names:
-        if name in have:
-            continue
-        rows = train.persist()
-        if name == "Logistic Regression":
-            # The strength C counts the rows of a fit: those of all folds but one.
-            have[name] = fit_logreg(rows, search, round(rows.count() * (search.folds - 1) / search.folds))
-        elif name == "Random Forest":
-            have[name] = fit_forest(rows, search)
-        else:
-            have[name] = fit_boost(rows, search)
-        rows.unpersist()
+    wanted = [name for name in names if name not in have]
+    if not wanted:
+        return have
+    folds = FoldSearch(train_rows(t, search.folds), preprocessor, search.folds, search.max_rows)
+    _, train, _, _ = prepared(t, search.folds)
+    rows = cut_lineage(with_weights(bounded(train, search.fit_rows)).coalesce(1)).coalesce(1).persist()
+    n = rows.count()
+    for name in wanted:
+        c = _candidates(name, search)
+        means = folds.run(c, search.parallelism)
+        best = max(range(len(means)), key=lambda i: means[i])
+        have[name] = Fitted(folds.final(c, c.settings[best], rows, n, KINDS[name]), means[best], _said(c.settings[best]))
+    folds.close()
+    rows.unpersist()
     return have
 
 
@@ -486,9 +489,12 @@ def save_models(t: Tables, folder: str) -> list[str]:
 
 
 def ml_save(t: Tables) -> DataFrame:
-    """Saves everything, loads the preprocessing again and scores the metrics file by its row count."""
+    """Saves everything, loads the preprocessing and the models again and scores the test rows with what was loaded."""
     folder = scratch_path(t.spark, "models")
     paths = save_models(t, folder)
-    again = PipelineModel.load(paths[0])
-    n = again.transform(test_rows(t)).count()
-    return local_frame(t.spark, [(p.rsplit("/", 1)[1], n) for p in paths], "artifact string, test_rows long")
+    ready = PipelineModel.load(paths[0]).transform(test_rows(t))
+    counts = {"preprocessor": ready.count()}
+    for name, kind in KINDS.items():
+        counts[MODELS[name]] = kind.load(f"{folder}/{MODELS[name]}").transform(ready).filter("prediction IN (0, 1)").count()
+    every = counts["preprocessor"]
+    return local_frame(t.spark, [(p.rsplit("/", 1)[1], counts.get(p.rsplit("/", 1)[1], every)) for p in paths], "artifact string, test_rows long")

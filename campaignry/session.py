@@ -35,8 +35,8 @@ def local_session(cores: str = "8", name: str = "campaignry") -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Where the setting is missing, a folder below the warehouse takes its place: the warehouse is on
-    storage that every executor reaches, which a machine-local temporary folder is not.
+    Where the setting is missing, a folder below the warehouse takes its place in a session of one process; on a
+    cluster that folder might lie on the driver's machine alone, so the job stops.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
@@ -45,6 +45,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if sc.master != "local" and not sc.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors reach")
     folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     sc.setCheckpointDir(folder)
     return folder
