@@ -7,7 +7,7 @@ bounds the one broadcast. Shingles that one node alone has are dropped where the
 
 A tile is a shingle and a size band. Bands grow by the ratio of a link, so linked sets lie in one band or in
 neighbouring ones: every node stands at home in its own band and as a guest in the next, and guests are held against
-those at home only. Sets and bitmap signatures of the nodes that share a shingle are written once.
+those at home only.
 
 1. In each tile all nodes are held against its smallest node and two drawn by hash; then, tile by tile, the nodes outside
    the commonest component against a drawn member of it. Both are linear in the tile; links are contracted to components.
@@ -38,7 +38,7 @@ from campaignry.llm.planes import pack, unpack
 from campaignry.session import cut_lineage
 
 CHUNK = 4096  # counters per row while the bucket counts are summed
-SENT = 1 << 21  # prefix shingles of a task that are combined before they are dealt out
+SENT = 1 << 19  # prefix shingles of a task that are combined before they are dealt out
 
 
 @dataclass(frozen=True)
@@ -112,20 +112,21 @@ def overlap_bound(a: np.ndarray, b: np.ndarray, na, nb):
     return np.minimum(na - only_a, nb - only_b)
 
 
-NODES = "doc_id long, digest long, n long, node long, chunk int, counts binary"
+NODES = "doc_id long, digest long, n long, node long, signature binary, chunk int, counts binary"
 
 
 def _profile(plan: JoinPlan):
     schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("n", pa.int64()), ("node", pa.int64()),
-                        ("chunk", pa.int32()), ("counts", pa.binary())])
+                        ("signature", pa.binary()), ("chunk", pa.int32()), ("counts", pa.binary())])
 
     def run(batches):
         counts = np.zeros(plan.buckets, np.int64)
         for batch in batches:
-            n, node = np.zeros(len(batch), np.int64), np.full(len(batch), -1, np.int64)
+            n, node, sig = np.zeros(len(batch), np.int64), np.full(len(batch), -1, np.int64), [None] * len(batch)
             waiting, held = [], 0
             for row, shingles in shingle_sets(batch.column("text"), plan.words):
                 n[row], node[row] = len(shingles), node_of(shingles)
+                sig[row] = signature(shingles, plan.max_signature_bits).tobytes()
                 waiting.append(shingles & np.uint64(plan.buckets - 1))
                 held += len(shingles)
                 if held > 4 * plan.buckets:
@@ -135,13 +136,13 @@ def _profile(plan: JoinPlan):
                 counts += np.bincount(np.concatenate(waiting).astype(np.int64), minlength=plan.buckets)
             empty = pa.nulls(len(batch))
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), batch.column("digest"), pa.array(n), pa.array(node, mask=node < 0),
+                batch.column("doc_id"), batch.column("digest"), pa.array(n), pa.array(node, mask=node < 0), pa.array(sig, pa.binary()),
                 empty.cast(pa.int32()), empty.cast(pa.binary())], schema=schema)
         if counts.any():
             parts = counts.reshape(-1, min(CHUNK, plan.buckets))
             none = [None] * len(parts)
             yield pa.RecordBatch.from_pydict({
-                "doc_id": none, "digest": none, "n": none, "node": none,
+                "doc_id": none, "digest": none, "n": none, "node": none, "signature": none,
                 "chunk": list(range(len(parts))), "counts": [zlib.compress(p.tobytes(), 1) for p in parts]}, schema=schema)
     return run
 
@@ -167,24 +168,26 @@ def bucket_counts(profile: DataFrame, plan: JoinPlan) -> np.ndarray:
     return counts
 
 
-ENTRIES = (np.int64, np.int64, np.int32, np.uint8)  # key, node, size, whether the entry waits for an answer
+ENTRIES = (np.int64, np.int64, np.int32, np.uint8)  # key, node, size, kind
+ASKS, TELLS, MET = 0, 1, 2  # the only node of its task with the key; one of several; the others of those
 _dealt = pa.schema([("bucket", pa.int64()), ("data", pa.binary())])
 
 
 def _ranges(key: np.ndarray, node: np.ndarray, n: np.ndarray, bits: int) -> pa.RecordBatch:
-    """One row per hash range. Keys that several nodes of the task share need no answer; one of their entries tells the range of them."""
+    """One row per hash range. Of a key that several nodes of a task have, one tells its range, the others are dealt by node."""
     order = np.argsort(key, kind="stable")
     key, node, n = key[order], node[order], n[order].astype(np.int32)
     opens = np.ones(len(key), bool)
     opens[1:] = key[1:] != key[:-1]
-    alone = opens & np.append(opens[1:], True)
-    bucket = (key.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+    kind = np.where(opens, np.where(np.append(opens[1:], True), ASKS, TELLS), MET).astype(np.uint8)
+    place = np.where(kind == MET, mixed(key.view(np.uint64) ^ node.view(np.uint64)), key.view(np.uint64))
+    bucket = (place >> np.uint64(64 - bits)).astype(np.int64)
     by = np.argsort(bucket, kind="stable")
     cut = np.flatnonzero(np.diff(bucket[by], prepend=-1))
     out = []
     for a, b in zip(cut, np.append(cut[1:], len(by))):
         part = by[a:b]
-        out.append((int(bucket[part[0]]), pack(key[part], node[part], n[part], alone[part].astype(np.uint8))))
+        out.append((int(bucket[part[0]]), pack(key[part], node[part], n[part], kind[part])))
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _dealt)], schema=_dealt)
 
 
@@ -217,16 +220,17 @@ def _prefixes(plan: JoinPlan, counts, bits: int):
 
 
 def _shared(batches):
-    """The entries of keys that several nodes have, range by range."""
+    """The entries of keys that several nodes have, range by range, each once."""
     schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("n", pa.int64())])
 
     def met(rows: list[bytes]) -> pa.RecordBatch:
-        key, node, n, alone = (np.concatenate(c) for c in zip(*(unpack(r, *ENTRIES) for r in rows)))
-        order = np.argsort(key, kind="stable")
-        key, node, n, alone = key[order], node[order], n[order], alone[order].astype(bool)
+        key, node, n, kind = (np.concatenate(c) for c in zip(*(unpack(r, *ENTRIES) for r in rows)))
+        order = np.lexsort((kind, node, key))
+        key, node, n, kind = key[order], node[order], n[order], kind[order]
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        many = np.minimum.reduceat(node, first) != np.maximum.reduceat(node, first)
-        keep = np.repeat(many, np.diff(np.append(first, len(key)))) | ~alone
+        several = (node[first] != node[np.append(first[1:], len(key)) - 1]) | (np.maximum.reduceat(kind, first) > ASKS)
+        keep = np.repeat(several, np.diff(np.append(first, len(key))))
+        keep[1:] &= (key[1:] != key[:-1]) | (node[1:] != node[:-1])
         return pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(node[keep]), pa.array(n[keep].astype(np.int64))], schema=schema)
 
     now, rows = None, []
@@ -292,30 +296,31 @@ def _decided(plan: JoinPlan):
 
 
 def _fetched(plan: JoinPlan):
-    schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("signature", pa.binary()), ("shingles", pa.binary())])
+    schema = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
 
     def run(batches):
         seen = set()
         for batch in batches:
             asked = batch.column("node").to_pylist()
-            rows = []
+            nodes, sets = [], []
             for i, shingles in shingle_sets(batch.column("text"), plan.words):
                 if asked[i] not in seen and node_of(shingles) == asked[i]:
                     seen.add(asked[i])
-                    rows.append((asked[i], len(shingles), signature(shingles, plan.max_signature_bits).tobytes(), shingles.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 4, schema)], schema=schema)
+                    nodes.append(asked[i])
+                    sets.append(shingles.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], schema=schema)
     return run
 
 
-def _sets(texts: DataFrame, nodes: DataFrame, met: DataFrame, plan: JoinPlan) -> DataFrame:
-    """(node, n, signature, shingles) of the nodes that share a shingle, from one text each."""
-    asked = met.select("node").distinct().join(nodes, "node").select(
-        "node", F.col("source.doc_id").alias("id"), F.col("source.digest").alias("print"))
-    rows = texts.join(asked.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("print")))
-    return cut_lineage(rows.select("node", "text").mapInArrow(_fetched(plan), "node long, n long, signature binary, shingles binary"))
+def _sets(asked: DataFrame, texts: DataFrame, nodes: DataFrame, plan: JoinPlan) -> DataFrame:
+    """(node, shingles) of the nodes asked for, each from one text."""
+    wanted = cut_lineage(nodes.join(asked.distinct(), "node").select(
+        "node", F.col("source.doc_id").alias("id"), F.col("source.digest").alias("print")))
+    rows = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("print")))
+    return rows.select("node", "text").mapInArrow(_fetched(plan), "node long, shingles binary")
 
 
-def links(pairs: DataFrame, sets: DataFrame, plan: JoinPlan) -> DataFrame:
+def links(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, plan: JoinPlan) -> DataFrame:
     """The pairs (u, v) of node pairs (a, b) that are linked, by their whole sets."""
     sizes = cut_lineage(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("m")))
     salts = F.floor(F.col("m") / plan.members).cast("int")
@@ -323,16 +328,16 @@ def links(pairs: DataFrame, sets: DataFrame, plan: JoinPlan) -> DataFrame:
                        F.col("a").alias("node"))
     members = pairs.join(sizes, "a").select(F.col("a").alias("tile"), F.pmod(F.xxhash64("b"), salts + 1).cast("int").alias("salt"),
                                             F.lit(True).alias("member"), F.col("b").alias("node"))
-    rows = own.unionAll(members).join(sets.select("node", "shingles").hint("merge"), "node")
-    rows = rows.repartition("tile", "salt").sortWithinPartitions("tile", "salt", "member")
+    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("node")), texts, nodes, plan)
+    rows = own.unionAll(members).join(sets, "node").repartition("tile", "salt").sortWithinPartitions("tile", "salt", "member")
     return cut_lineage(rows.mapInArrow(_decided(plan), "u long, v long"))
 
 
-def _screened(pairs: DataFrame, sets: DataFrame, plan: JoinPlan) -> DataFrame:
+def _screened(pairs: DataFrame, nodes: DataFrame, plan: JoinPlan) -> DataFrame:
     """Pairs that pass the bit count of their signatures."""
-    a = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("signature").alias("sa"))
-    b = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("sb"))
-    rows = pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b").filter(_size_ok(plan, F.col("na"), F.col("nb")))
+    a = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("signature").alias("sa"))
+    b = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("sb"))
+    rows = pairs.join(a, "a").join(b, "b").filter(_size_ok(plan, F.col("na"), F.col("nb")))
     return cut_lineage(rows.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_bounded_pairs(plan), "a long, b long"))
 
 
@@ -481,17 +486,18 @@ def _paired_blocks(rows: DataFrame, keys: list[str], blocks) -> DataFrame:
     return rows.repartition(*keys, "i", "j").sortWithinPartitions(*keys, "i", "j")
 
 
-def _last_links(open_rows: DataFrame, sets: DataFrame, plan: JoinPlan) -> DataFrame:
+def _last_links(open_rows: DataFrame, texts: DataFrame, nodes: DataFrame, plan: JoinPlan) -> DataFrame:
     """Links across the components of the open tiles, enough to join all that are linked."""
     if open_rows.isEmpty():
         return open_rows.select(F.col("node").alias("u"), F.col("comp").alias("v"))
-    rows = open_rows.join(sets.select("node", "signature").hint("merge"), "node")
+    rows = open_rows.join(nodes.select("node", "signature"), "node")
     rows = _paired_blocks(rows, ["key", "band"], F.ceil(F.col("m") / plan.block))
     forest = cut_lineage(rows.mapInArrow(_forest(plan), "u long, v long").distinct())
-    groups = cut_lineage(components(forest))
-    sizes = groups.join(sets.select("node", "n"), "node").groupBy("component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("all"))
+    groups = cut_lineage(components(forest).join(nodes.select("node", "n", "signature"), "node"))
+    sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("all"))
     blocks = F.greatest(F.ceil(F.col("m") / plan.block), F.ceil(F.col("all") / plan.block_shingles))
-    rows = groups.join(open_rows.select("node", "comp").distinct(), "node").join(sizes, "component").join(sets.hint("merge"), "node")
+    rows = groups.join(open_rows.select("node", "comp").distinct(), "node").join(sizes, "component")
+    rows = rows.join(_sets(groups.select("node"), texts, nodes, plan), "node")
     rows = _paired_blocks(rows, ["component"], blocks)
     return cut_lineage(rows.mapInArrow(_joining(plan), "u long, v long").distinct())
 
@@ -513,25 +519,24 @@ def linked_rows(docs: DataFrame, plan: JoinPlan = JoinPlan()) -> DataFrame:
     texts = _keyed(docs)
     profile = cut_lineage(texts.mapInArrow(_profile(plan), NODES))
     rows = profile.filter("chunk IS NULL")
-    nodes = cut_lineage(rows.filter("n > 0").groupBy("node", "n").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")).alias("source")))
+    source = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest"))
+    nodes = cut_lineage(rows.filter("n > 0").groupBy("node", "n").agg(source.alias("source"), F.max("signature").alias("signature")))
     counts = bucket_counts(profile, plan)
     sent = spark.sparkContext.broadcast(counts)  # plan.buckets numbers
     dealt = texts.mapInArrow(_prefixes(plan, sent, plan.range_bits(int(counts.sum()))), "bucket long, data binary")
     dealt = dealt.repartition("bucket").sortWithinPartitions("bucket")
-    met = cut_lineage(dealt.mapInArrow(_shared, "key long, node long, n long").distinct())
+    tiles = _tiles(cut_lineage(dealt.mapInArrow(_shared, "key long, node long, n long")), plan)
 
-    sets = _sets(texts, nodes.select("node", "source"), met, plan)
-    tiles = _tiles(met, plan)
-    tried = _screened(_star_pairs(tiles, plan), sets, plan)
-    comps = cut_lineage(components(links(tried, sets, plan)))
+    tried = _screened(_star_pairs(tiles, plan), nodes, plan)
+    comps = cut_lineage(components(links(tried, texts, nodes, plan)))
     for turn in range(plan.rounds):
-        more = _screened(_outsider_pairs(_open_rows(tiles, comps), plan, turn).join(tried, ["a", "b"], "left_anti"), sets, plan)
+        more = _outsider_pairs(_open_rows(tiles, comps), plan, turn).join(tried, ["a", "b"], "left_anti")
+        more = _screened(more, nodes, plan)
         if more.isEmpty():
             break
         tried = tried.unionAll(more)
-        comps = _grown(comps, links(more, sets, plan))
-    last = _last_links(_open_rows(tiles, comps), sets, plan)
+        comps = _grown(comps, links(more, texts, nodes, plan))
+    last = _last_links(_open_rows(tiles, comps), texts, nodes, plan)
     if not last.isEmpty():
         comps = _grown(comps, last)
     return rows.join(comps, "node", "left").select(
