@@ -49,7 +49,7 @@ class JoinPlan:
     block: int = 1024  # nodes of one side of a block
     block_shingles: int = 1 << 20  # and shingles of one side of a block of sets
     members: int = 2048  # sets per task group while pairs are decided
-    rounds: int = 2  # rounds against the commonest component of a tile
+    rounds: int = 1  # rounds against the commonest component of a tile
     range_shingles: int = 1 << 19  # prefix shingles of a range of hashes
     max_signature_bits: int = 1 << 15
 
@@ -314,22 +314,22 @@ def _fetched(plan: JoinPlan):
 
 def _sets(asked: DataFrame, texts: DataFrame, nodes: DataFrame, plan: JoinPlan) -> DataFrame:
     """(node, shingles) of the nodes asked for, each from one text."""
-    wanted = cut_lineage(nodes.join(asked.distinct(), "node").select(
-        "node", F.col("source.doc_id").alias("id"), F.col("source.digest").alias("print")))
-    rows = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("print")))
+    wanted = nodes.join(asked.distinct().hint("merge"), "node").select(
+        "node", F.col("source.doc_id").alias("id"), F.col("source.digest").alias("print"))
+    rows = texts.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("print")))
     return rows.select("node", "text").mapInArrow(_fetched(plan), "node long, shingles binary")
 
 
 def links(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, plan: JoinPlan) -> DataFrame:
     """The pairs (u, v) of node pairs (a, b) that are linked, by their whole sets."""
-    sizes = cut_lineage(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("m")))
+    sizes = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("m"))
     salts = F.floor(F.col("m") / plan.members).cast("int")
     own = sizes.select(F.col("a").alias("tile"), F.explode(F.sequence(F.lit(0), salts)).alias("salt"), F.lit(False).alias("member"),
                        F.col("a").alias("node"))
     members = pairs.join(sizes, "a").select(F.col("a").alias("tile"), F.pmod(F.xxhash64("b"), salts + 1).cast("int").alias("salt"),
                                             F.lit(True).alias("member"), F.col("b").alias("node"))
     sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("node")), texts, nodes, plan)
-    rows = own.unionAll(members).join(sets, "node").repartition("tile", "salt").sortWithinPartitions("tile", "salt", "member")
+    rows = own.unionAll(members).join(sets.hint("merge"), "node").repartition("tile", "salt").sortWithinPartitions("tile", "salt", "member")
     return cut_lineage(rows.mapInArrow(_decided(plan), "u long, v long"))
 
 
@@ -337,7 +337,7 @@ def _screened(pairs: DataFrame, nodes: DataFrame, plan: JoinPlan) -> DataFrame:
     """Pairs that pass the bit count of their signatures."""
     a = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("signature").alias("sa"))
     b = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("sb"))
-    rows = pairs.join(a, "a").join(b, "b").filter(_size_ok(plan, F.col("na"), F.col("nb")))
+    rows = pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b").filter(_size_ok(plan, F.col("na"), F.col("nb")))
     return cut_lineage(rows.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_bounded_pairs(plan), "a long, b long"))
 
 
@@ -490,14 +490,14 @@ def _last_links(open_rows: DataFrame, texts: DataFrame, nodes: DataFrame, plan:
     """Links across the components of the open tiles, enough to join all that are linked."""
     if open_rows.isEmpty():
         return open_rows.select(F.col("node").alias("u"), F.col("comp").alias("v"))
-    rows = open_rows.join(nodes.select("node", "signature"), "node")
+    rows = open_rows.join(nodes.select("node", "signature").hint("merge"), "node")
     rows = _paired_blocks(rows, ["key", "band"], F.ceil(F.col("m") / plan.block))
     forest = cut_lineage(rows.mapInArrow(_forest(plan), "u long, v long").distinct())
-    groups = cut_lineage(components(forest).join(nodes.select("node", "n", "signature"), "node"))
+    groups = cut_lineage(components(forest).join(nodes.select("node", "n", "signature").hint("merge"), "node"))
     sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("all"))
     blocks = F.greatest(F.ceil(F.col("m") / plan.block), F.ceil(F.col("all") / plan.block_shingles))
     rows = groups.join(open_rows.select("node", "comp").distinct(), "node").join(sizes, "component")
-    rows = rows.join(_sets(groups.select("node"), texts, nodes, plan), "node")
+    rows = rows.join(_sets(groups.select("node"), texts, nodes, plan).hint("merge"), "node")
     rows = _paired_blocks(rows, ["component"], blocks)
     return cut_lineage(rows.mapInArrow(_joining(plan), "u long, v long").distinct())
 

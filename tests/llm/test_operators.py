@@ -219,7 +219,9 @@ def test_blocks_write_no_pairs(spark):
     assert sum(len(b) for b in jaccard._joining(plan)([pa.RecordBatch.from_pydict(block)])) == 0
 
 
-def test_connected_components(spark):
+@pytest.mark.parametrize("edges_of_a_task", [10, 1 << 17])
+def test_connected_components(spark, monkeypatch, edges_of_a_task):
+    monkeypatch.setattr(components, "EDGES", edges_of_a_task)
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(0, 200) if i % 50] + [(1000, 1000 + i) for i in range(1, 60)] + [(rng.randint(2000, 2100), rng.randint(2000, 2100)) for _ in range(80)]
     home = {}
