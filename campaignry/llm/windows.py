@@ -1,6 +1,6 @@
 """Substring dedup: Rabin-Karp hashes of every window of 50 words, counted over all documents, merged to intervals.
 
-Texts are taken in chunks of about 16 MB. A chunk rolls two hashes over all windows of its documents, combines equal
+Texts are taken in chunks of about 8 MB. A chunk rolls two hashes over all windows of its documents, combines equal
 windows (the smallest document of each is known at once) and deals the rest out by ranges of the hash. A range finds
 the smallest document of every window over all chunks and answers each chunk with the places that a smaller document
 has, too. The chunk merges its repeated windows to maximal intervals of words, which are joined with the texts.
@@ -34,7 +34,7 @@ _spans = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("starts", p
 @dataclass(frozen=True)
 class WindowPlan:
     words: int = 50
-    chunk_bytes: int = 1 << 24  # text whose equal windows are combined before they are dealt out
+    chunk_bytes: int = 1 << 23  # text whose equal windows are combined before they are dealt out
     range_bytes: int = 1 << 23  # text whose windows fall into one range of hashes
     max_range_bits: int = 20
 

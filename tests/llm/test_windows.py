@@ -31,7 +31,7 @@ def key(r):
     return tuple((x is None, x) for x in r)
 
 
-@pytest.mark.parametrize("chunk_bytes", [1, 700, 1 << 24])
+@pytest.mark.parametrize("chunk_bytes", [1, 700, 1 << 23])
 def test_against_all_windows(spark, documents, chunk_bytes):
     rng = random.Random(8)
     passages = [sentence(rng, 12) for _ in range(4)]
