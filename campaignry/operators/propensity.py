@@ -7,14 +7,14 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassificationModel,
-    RandomForestClassifier)
+    LogisticRegression, LogisticRegressionModel, RandomForestClassificationModel, RandomForestClassifier)
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from campaignry.functions import kpi as k
+from campaignry.operators.boosting import BoostedTreesClassifier, BoostedTreesModel, held_scores
 from campaignry.operators.search import Candidates, FoldSearch, bounded, with_weights
 from campaignry.plans.ordering import SortedRuns, after_keys, running_sums, tile_ends
 from campaignry.session import cut_lineage, local_frame, scratch_path
@@ -256,23 +256,20 @@ def _forest(g: dict, n: int) -> RandomForestClassifier:
                                   featureSubsetStrategy=str(g["max_features"]))
 
 
-def _boost(g: dict, n: int) -> GBTClassifier:
-    """Boosted trees; minimum child weight, split gain and column share map to their nearest Spark settings."""
-    return GBTClassifier(featuresCol="features", labelCol="label", weightCol="pos_weight", seed=42, maxIter=g["n_estimators"],
-                         stepSize=g["learning_rate"], maxDepth=g["max_depth"], subsamplingRate=g["subsample"],
-                         featureSubsetStrategy=str(float(g["colsample_bytree"])) if g["colsample_bytree"] < 1 else "all",
-                         minInstancesPerNode=g["min_child_weight"], minInfoGain=float(g["gamma"]))
+def _boost(g: dict, n: int) -> BoostedTreesClassifier:
+    """Boosted trees, each fit in one task."""
+    return BoostedTreesClassifier(g)
 
 
 MODELS = {"Logistic Regression": "logistic_regression", "Random Forest": "random_forest", "Boosted Trees": "boosted_trees"}
 KINDS = {"Logistic Regression": LogisticRegressionModel, "Random Forest": RandomForestClassificationModel,
-         "Boosted Trees": GBTClassificationModel}
+         "Boosted Trees": BoostedTreesModel}
 
 
 def _candidates(name: str, search: Search) -> Candidates:
-    settings, build = {"Logistic Regression": (search.logreg, _logreg), "Random Forest": (search.forest, _forest),
-                       "Boosted Trees": (search.boost, _boost)}[name]
-    return Candidates(MODELS[name], settings, build)
+    settings, build, in_task = {"Logistic Regression": (search.logreg, _logreg, None), "Random Forest": (search.forest, _forest, None),
+                                "Boosted Trees": (search.boost, _boost, held_scores)}[name]
+    return Candidates(MODELS[name] + ("_in_tasks" if in_task else ""), settings, build, in_task)
 
 
 def _said(setting: dict) -> dict:

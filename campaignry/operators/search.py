@@ -13,13 +13,14 @@ from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from campaignry.functions import kpi as k
-from campaignry.session import cut_lineage, shared_dir
+from campaignry.session import cut_lineage, local_frame, shared_dir
 
 
 class Kept:
@@ -76,11 +77,15 @@ def with_weights(rows: DataFrame) -> DataFrame:
 
 @dataclass
 class Candidates:
-    """The settings of one model; ``build`` makes its estimator from a setting and a number of rows."""
+    """The settings of one model; ``build`` makes its estimator from a setting and a number of rows.
+
+    ``in_task``, if given, scores held rows inside one task from a setting and the arrays of inputs, labels, weights and held inputs.
+    """
 
     name: str
     settings: list[dict]
     build: Callable
+    in_task: Callable | None = None
 
 
 class FoldSearch:
@@ -107,6 +112,30 @@ class FoldSearch:
         out = c.build(setting, n).fit(ready).transform(test).select("label", vector_to_array("probability")[1].alias("score")).toPandas()
         return auc(out["label"].to_numpy(), out["score"].to_numpy())
 
+    def arrays(self, fold: int) -> tuple:
+        """Inputs, labels and weights of a fold's training part, inputs and labels of its held part; bounded by ``max_rows``."""
+        ready, test, _ = self.part(fold)
+        features = vector_to_array("features").alias("x")
+        train, held = ready.select(features, "label", "pos_weight").toPandas(), test.select(features, "label").toPandas()
+        stacked = lambda rows: np.stack(rows["x"].to_numpy()) if len(rows) else np.zeros((0, 1))
+        return (stacked(train), train["label"].to_numpy(), train["pos_weight"].to_numpy(dtype=float), stacked(held), held["label"].to_numpy())
+
+    def scores(self, c: Candidates, tasks: list[tuple[int, int]]) -> dict[tuple[int, int], float]:
+        """AUC of each (setting, fold), one Spark task a fit. The folds, at most ``max_rows`` rows each, are broadcast."""
+        folds = self.spark.sparkContext.broadcast({fold: self.arrays(fold) for fold in sorted({fold for _, fold in tasks})})
+        settings, in_task = c.settings, c.in_task
+
+        def fits(batches):
+            for batch in batches:
+                for i, fold in zip(batch["i"], batch["fold"]):
+                    x, y, w, held, label = folds.value[fold]
+                    value = auc(label, in_task(settings[i], x, y, w, held)) if len(label) else 0.5
+                    yield pd.DataFrame({"i": [i], "fold": [fold], "auc": [value]})
+        todo = local_frame(self.spark, tasks, "i int, fold int").repartition(len(tasks))
+        found = todo.mapInPandas(fits, "i int, fold int, auc double").collect()
+        folds.unpersist()
+        return {(r["i"], r["fold"]): r["auc"] for r in found}
+
     def run(self, c: Candidates, parallelism: int | None = None) -> list[float]:
         """Mean AUC of each setting; fits that are kept from before are not done again."""
         name = lambda i, fold: f"{c.name}-{short_hash(c.settings[i])}-{fold}"
@@ -114,6 +143,13 @@ class FoldSearch:
         todo = [(i, fold) for i in range(len(c.settings)) for fold in range(self.folds) if name(i, fold) not in have]
         for fold in sorted({fold for _, fold in todo}):
             self.part(fold)
+        if c.in_task:
+            wave = 4 * (parallelism or self.spark.sparkContext.defaultParallelism)
+            for at in range(0, len(todo), wave):  # a lost driver costs one wave
+                for (i, fold), value in self.scores(c, todo[at:at + wave]).items():
+                    self.kept.put(name(i, fold), value)
+                    have[name(i, fold)] = value
+            todo = []
 
         @inheritable_thread_target(self.spark)
         def one(task):
