@@ -1,12 +1,14 @@
 """License scan by ordered signature rules, in built-in functions only.
 
 A text becomes its lower-case words, each between two spaces, so that rules are plain regular expressions on words. A
-cheap test picks the texts that can hold a license at all; of these, a rule is tried only if its keyword occurs. Where
+cheap test picks the texts that can hold a license at all; of these, a rule is tried only if its longest fixed words occur. Where
 detections overlap, one that lies inside another of higher priority, or inside a longer one of the same, is dropped.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,50 +18,298 @@ from campaignry.session import cut_lineage
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BASE = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
-# label, keyword, name in words: "x?" may be missing, "a|b" is either.
-NAMES = [
-    ("mit", "mit", "mit|expat"), ("mit-0", "mit", "mit no attribution"), ("x11", "x11", "x11"), ("isc", "isc", "isc"),
-    ("apache-1.1", "apache", "apache software? license? version|v? 1 1"), ("apache-2", "apache", "apache software? license? version|v? 2 0?"),
-    ("bsd-2-clause", "bsd", "bsd|simplified|freebsd 2|two clause bsd?"), ("bsd-3-clause", "bsd", "bsd|new|modified|revised 3|three clause bsd?"),
-    ("bsd-4-clause", "bsd", "bsd|original 4|four clause"), ("0bsd", "0bsd", "0bsd"), ("bsd", "bsd", "bsd"),
-    ("gpl-1", "general", "gnu general public license version|v? 1 0?"), ("gpl-2", "general", "gnu general public license version|v? 2 0?"),
-    ("gpl-3", "general", "gnu general public license version|v? 3 0?"), ("gpl", "general", "gnu general public"),
-    ("lgpl-2", "general", "gnu? library general public license version|v? 2 0?"), ("lgpl-2.1", "general", "gnu? lesser general public license version|v? 2 1"),
-    ("lgpl-3", "general", "gnu? lesser general public license version|v? 3 0?"), ("lgpl", "general", "gnu? lesser|library general public"),
-    ("agpl-3", "affero", "gnu? affero general public license version|v? 3 0?"), ("agpl", "affero", "gnu? affero general public"),
-    ("gfdl", "documentation", "gnu free documentation"), ("mpl-1.1", "mozilla", "mozilla public license version|v? 1 1"),
-    ("mpl-2", "mozilla", "mozilla public license version|v? 2 0?"), ("mpl", "mozilla", "mozilla public"),
-    ("epl-1", "eclipse", "eclipse public license version|v? 1 0?"), ("epl-2", "eclipse", "eclipse public license version|v? 2 0?"),
-    ("epl", "eclipse", "eclipse public"), ("edl", "eclipse", "eclipse distribution"), ("cddl-1", "development", "common development and distribution license version|v? 1 0?"),
-    ("cddl", "development", "common development and distribution"), ("cpl-1", "common", "common public license version|v? 1 0?"),
-    ("eupl-1.1", "european", "european union public licence|license version|v? 1 1"), ("eupl-1.2", "european", "european union public licence|license version|v? 1 2"),
-    ("artistic-1", "artistic", "artistic license version|v? 1 0?"), ("artistic-2", "artistic", "artistic license version|v? 2 0?"),
-    ("artistic", "artistic", "artistic"), ("bsl-1", "boost", "boost software license version|v? 1 0?"), ("bsl", "boost", "boost software"),
-    ("zlib", "zlib", "zlib"), ("libpng", "libpng", "libpng"), ("openssl", "openssl", "openssl"), ("php-3", "php", "php license version|v? 3 0?"),
-    ("psf-2", "python", "python software foundation license version|v? 2 0?"), ("psf", "python", "python software foundation"),
-    ("ruby", "ruby", "ruby"), ("unlicense", "unlicense", "unlicense"), ("wtfpl", "do", "do what the fuck you want to public"),
-    ("zpl-2.1", "zope", "zope public license version|v? 2 1"), ("zpl", "zope", "zope public"), ("postgresql", "postgresql", "postgresql"),
-    ("ncsa", "ncsa", "university of illinois ncsa open source"), ("ecl-2", "educational", "educational community license version|v? 2 0?"),
-    ("afl-3", "academic", "academic free license version|v? 3 0?"), ("osl-3", "open", "open software license version|v? 3 0?"),
-    ("ms-pl", "microsoft", "microsoft public"), ("ms-rl", "microsoft", "microsoft reciprocal"), ("ofl-1.1", "sil", "sil open font license version|v? 1 1"),
-    ("ofl", "sil", "sil open font"), ("upl-1", "universal", "universal permissive license version|v? 1 0?"), ("vim", "vim", "vim"),
-    ("odbl-1", "database", "open database license version|v? 1 0?"), ("odc-by", "commons", "open data commons attribution"),
-    ("pddl", "commons", "open data commons public domain dedication"), ("cecill", "cecill", "cecill free? software?"), ("mulan-2", "mulan", "mulan permissive software license version|v? 2"),
-    ("cc0", "cc0", "cc0"), ("cc-by", "cc", "cc by"), ("cc-by-sa", "cc", "cc by sa"), ("cc-by-nc", "cc", "cc by nc"), ("cc-by-nd", "cc", "cc by nd"),
-    ("cc-by-nc-sa", "cc", "cc by nc sa"), ("cc-by-nc-nd", "cc", "cc by nc nd"), ("cc-by", "creative", "creative commons attribution"),
-    ("cc-by-sa", "creative", "creative commons attribution share alike|sharealike"), ("cc-by-sa", "sharealike", "creative commons attribution sharealike"),
-    ("cc-by-nc", "noncommercial", "creative commons attribution noncommercial"), ("cc-by-nc-sa", "noncommercial", "creative commons attribution noncommercial sharealike"),
-    ("cc-by-nc-nd", "noncommercial", "creative commons attribution noncommercial noderivatives"), ("cc-by-nd", "noderivatives", "creative commons attribution noderivatives"),
-    ("cc0", "creative", "creative commons zero"), ("public-domain", "domain", "public domain dedication?"),
-]
-# priority, confidence and words around a name: a notice, an identifier line, the title, the bare version.
-FRAMES = [
-    (3, 0.99, "licensed|released|distributed|published|available under the? terms? of? the? {} licence|license?"),
-    (3, 1.0, "spdx license identifier {}"),
-    (2, 0.9, "under the? {} licence|license"),
-    (1, 0.7, "{} licence|license"),
-    (1, 0.5, "{} 1|2|3|4 0|1|5"),
-]
+# Rules, earlier ones first: label, priority, confidence, words. "x?" may be missing, "a|b" is either, "license" is also "licence".
+# Priority 4 is an identifier line, 3 a passage of a license or its notice, 2 a full name, 1 a mention that a version may sharpen.
+RULES = """
+mit 3 0.99 permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files
+mit 2 0.9 to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute
+mit 2 0.8 the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software
+mit 4 1.0 spdx license identifier mit
+mit 2 0.95 licensed|released|distributed|published|available under the? terms? of? the? mit x11? license?
+mit 2 0.9 under the? mit license
+mit 2 0.9 under the? expat license
+mit 1 0.8 mit license
+mit 1 0.8 expat license
+mit 1 0.6 licensed|released under the? expat
+mit-0 4 1.0 spdx license identifier mit 0
+mit-0 2 0.9 mit no attribution license?
+x11 2 0.9 x11 license
+x11 3 0.9 except as contained in this notice the name of the x consortium shall not be used
+isc 4 1.0 spdx license identifier isc
+isc 3 0.95 permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided
+isc 3 0.95 permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright
+isc 2 0.9 isc license
+isc 2 0.9 licensed|released|distributed under the? isc
+0bsd 4 1.0 spdx license identifier 0bsd
+0bsd 3 0.9 permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted the software is provided
+0bsd 2 0.9 zero clause bsd license?
+0bsd 2 0.9 0bsd license
+apache-2 4 1.0 spdx license identifier apache 2 0
+apache-2 3 0.99 licensed under the apache license version 2 0 the license
+apache-2 3 0.9 you may not use this file except in compliance with the license
+apache-2 2 0.95 apache license version|v? 2|v2 0?
+apache-2 2 0.95 apache license v2 0?
+apache-2 2 0.9 apache 2|v2|2 0? license
+apache-2 2 0.9 licensed|released|distributed|published|available under the? terms? of? the? apache 2|v2 0?
+apache-2 1 0.8 apache software license version|v? 2|v2 0?
+apache-2 1 0.8 apache org licenses license 2 0
+apache-1.1 4 1.0 spdx license identifier apache 1 1
+apache-1.1 2 0.95 apache software? license version|v? 1|v1 1
+apache-1.1 2 0.9 this product includes software developed by the apache software foundation
+apache 1 0.6 apache software license
+apache 1 0.6 apache license
+bsd-2-clause 4 1.0 spdx license identifier bsd 2 clause
+bsd-2-clause 2 0.9 2|two clause bsd license?
+bsd-2-clause 2 0.9 bsd 2|two clause license?
+bsd-2-clause 2 0.9 simplified bsd license?
+bsd-2-clause 2 0.9 freebsd license
+bsd-2-clause 2 0.9 freebsd 2|two clause license
+bsd-3-clause 4 1.0 spdx license identifier bsd 3 clause
+bsd-3-clause 3 0.95 nor the names of its contributors may be used to endorse
+bsd-3-clause 3 0.9 may be used to endorse or promote products derived from this software without specific prior written permission
+bsd-3-clause 2 0.9 3|three clause bsd license?
+bsd-3-clause 2 0.9 bsd 3|three clause license?
+bsd-3-clause 2 0.9 new|modified|revised bsd license?
+bsd-4-clause 4 1.0 spdx license identifier bsd 4 clause
+bsd-4-clause 3 0.95 all advertising materials mentioning features or use of this software must display the following acknowledgement|acknowledgment
+bsd-4-clause 2 0.9 4|four clause bsd license?
+bsd-4-clause 2 0.9 bsd 4|four clause license?
+bsd-4-clause 2 0.9 original bsd license
+bsd 3 0.9 redistribution and use in source and binary forms with or without modification are permitted provided
+bsd 2 0.8 bsd style license
+bsd 1 0.8 bsd license
+bsd 2 0.9 licensed|released|distributed|available under the? terms? of? the? bsd
+bsd-2-clause 3 0.95 licensed|released|distributed|available under the? terms? of? the? bsd 2|two clause license?
+bsd-3-clause 3 0.95 licensed|released|distributed|available under the? terms? of? the? bsd 3|three clause license?
+gpl-2 4 1.0 spdx license identifier gpl 2 0 only?
+gpl-2-or-later 4 1.0 spdx license identifier gpl 2 0 or later
+gpl-3 4 1.0 spdx license identifier gpl 3 0 only?
+gpl-3-or-later 4 1.0 spdx license identifier gpl 3 0 or later
+gpl-1 4 1.0 spdx license identifier gpl 1 0 only|or? later?
+gpl-1 2 0.95 gnu general public license version|v? 1|v1 0?
+gpl-2 2 0.95 gnu general public license version|v? 2|v2 0?
+gpl-2 2 0.95 gnu general public license as published by the free software foundation version 2
+gpl-2-or-later 3 0.98 gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version
+gpl-2-or-later 3 0.95 gnu general public license version|v? 2|v2 0? or any? later
+gpl-3 2 0.95 gnu general public license version|v? 3|v3 0?
+gpl-3 2 0.95 gnu general public license as published by the free software foundation version 3
+gpl-3-or-later 3 0.98 gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version
+gpl-3-or-later 3 0.95 gnu general public license version|v? 3|v3 0? or any? later
+gpl-2 1 0.85 gpl version|v? 2|v2 0?
+gpl-3 1 0.85 gpl version|v? 3|v3 0?
+gpl-2 1 0.85 gplv2 0? only? license?
+gpl-3 1 0.85 gplv3 0? only? license?
+gpl-2-or-later 2 0.9 gplv2 0? or later
+gpl-3-or-later 2 0.9 gplv3 0? or later
+gpl-2 1 0.85 gpl 2 0? only
+gpl-3 1 0.85 gpl 3 0? only
+gpl-2-or-later 2 0.9 gpl 2 0? or later
+gpl-3-or-later 2 0.9 gpl 3 0? or later
+gpl-2 1 0.8 gpl 2 0
+gpl-3 1 0.8 gpl 3 0
+gpl 3 0.8 this program is free software you can redistribute it and or modify it under the terms of the gnu general public license
+gpl 2 0.7 this program is free software you can redistribute it and or modify
+gpl 1 0.7 gnu general public license
+gpl 1 0.7 gnu gpl
+gpl 1 0.7 licensed|released|distributed|available under the? terms? of? the? gpl
+gpl 1 0.7 gpl license
+gpl 1 0.6 gpl compatible license
+gpl-2 2 0.9 licensed|released|distributed|available under the? terms? of? the? gnu? gpl version|v? 2|v2 0? only?
+gpl-3 2 0.9 licensed|released|distributed|available under the? terms? of? the? gnu? gpl version|v? 3|v3 0? only?
+gpl-2-or-later 2 0.95 licensed|released|distributed|available under the? terms? of? the? gnu? gpl version|v? 2|v2 0? or any? later
+gpl-3-or-later 2 0.95 licensed|released|distributed|available under the? terms? of? the? gnu? gpl version|v? 3|v3 0? or any? later
+gpl-2-or-later 3 0.99 this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version
+gpl-3-or-later 3 0.99 this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version
+lgpl-2 4 1.0 spdx license identifier lgpl 2 0 only?
+lgpl-2.1 4 1.0 spdx license identifier lgpl 2 1 only?
+lgpl-2.1-or-later 4 1.0 spdx license identifier lgpl 2 1 or later
+lgpl-3 4 1.0 spdx license identifier lgpl 3 0 only?
+lgpl-3-or-later 4 1.0 spdx license identifier lgpl 3 0 or later
+lgpl-2 2 0.95 gnu? library general public license version|v? 2|v2 0?
+lgpl-2.1 2 0.95 gnu? lesser general public license version|v? 2|v2 1
+lgpl-2.1-or-later 3 0.98 lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version
+lgpl-3 2 0.95 gnu? lesser general public license version|v? 3|v3 0?
+lgpl-3-or-later 3 0.98 lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version
+lgpl-2.1 1 0.85 lgplv2 1 only?
+lgpl-2.1 1 0.85 lgpl version|v? 2|v2 1 only?
+lgpl-2.1-or-later 2 0.9 lgpl version|v? 2|v2 1 or later
+lgpl-2.1-or-later 2 0.9 lgplv2 1 or later
+lgpl-3 1 0.85 lgplv3
+lgpl-3 1 0.85 lgpl version|v? 3|v3 0?
+lgpl-3-or-later 2 0.9 lgpl version|v? 3|v3 0? or later
+lgpl 1 0.7 gnu? lesser general public license
+lgpl 1 0.7 gnu? library general public license
+lgpl 1 0.7 gnu lgpl
+lgpl 1 0.7 lgpl license
+lgpl 1 0.7 licensed|released|distributed|available under the? terms? of? the? lgpl
+lgpl-2.1 2 0.9 licensed|released|distributed|available under the? terms? of? the? gnu? lgpl version|v? 2|v2 1 only?
+lgpl-3 2 0.9 licensed|released|distributed|available under the? terms? of? the? gnu? lgpl version|v? 3|v3 0? only?
+lgpl 2 0.8 this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license
+lgpl-2.1-or-later 3 0.99 this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version
+lgpl-3-or-later 3 0.99 this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version
+agpl-3 4 1.0 spdx license identifier agpl 3 0 only?
+agpl-3-or-later 4 1.0 spdx license identifier agpl 3 0 or later
+agpl-3 2 0.95 gnu? affero general public license version|v? 3|v3 0?
+agpl-3-or-later 3 0.98 affero general public license as published by the free software foundation either version 3 of the license or at your option any later version
+agpl-3 1 0.9 agplv3
+agpl-3 1 0.9 agpl version|v? 3|v3 0? only?
+agpl-3-or-later 2 0.9 agpl version|v? 3|v3 0? or later
+agpl-3-or-later 2 0.9 agplv3 0? or later
+agpl 1 0.7 gnu? affero general public license
+agpl 1 0.7 gnu agpl
+agpl 1 0.7 agpl license
+agpl-3 2 0.9 licensed|released|distributed|available under the? terms? of? the? gnu? agpl version|v? 3|v3 0? only?
+gfdl 4 1.0 spdx license identifier gfdl
+gfdl 3 0.95 permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license
+gfdl 2 0.9 gnu free documentation license
+gfdl 1 0.7 gnu fdl
+mpl-2 4 1.0 spdx license identifier mpl 2 0
+mpl-1.1 4 1.0 spdx license identifier mpl 1 1
+mpl-2 3 0.99 this source code form is subject to the terms of the mozilla public license v 2 0
+mpl-2 2 0.95 mozilla public license version|v? 2|v2 0?
+mpl-1.1 2 0.95 mozilla public license version|v? 1|v1 1
+mpl-1.1 3 0.95 the contents of this file are subject to the mozilla public license version 1 1
+mpl-2 1 0.85 mpl version|v? 2|v2 0
+mpl-2 1 0.85 mplv2 0?
+mpl-1.1 1 0.85 mpl version|v? 1|v1 1
+mpl 1 0.7 mozilla public license
+mpl-2 2 0.9 licensed|released|distributed|available under the? terms? of? the? mpl version|v? 2|v2 0
+epl-1 4 1.0 spdx license identifier epl 1 0
+epl-2 4 1.0 spdx license identifier epl 2 0
+epl-1 2 0.95 eclipse public license version|v? 1|v1 0?
+epl-2 2 0.95 eclipse public license version|v? 2|v2 0?
+epl-1 1 0.8 epl version|v? 1|v1 0
+epl-2 1 0.8 epl version|v? 2|v2 0
+epl 1 0.7 eclipse public license
+edl 2 0.9 eclipse distribution license
+cddl-1 4 1.0 spdx license identifier cddl 1 0
+cddl-1 2 0.95 common development and distribution license version|v? 1|v1 0?
+cddl-1 1 0.8 cddl version|v? 1|v1 0
+cddl 1 0.7 common development and distribution license
+cddl 1 0.7 cddl license
+cpl-1 2 0.95 common public license version|v? 1|v1 0?
+cpl 1 0.7 common public license
+eupl-1.1 2 0.95 european union public license version|v? 1|v1 1
+eupl-1.2 2 0.95 european union public license version|v? 1|v1 2
+eupl-1.1 1 0.85 eupl version|v? 1|v1 1
+eupl-1.2 1 0.85 eupl version|v? 1|v1 2
+eupl-1.2 4 1.0 spdx license identifier eupl 1 2
+eupl 1 0.7 european union public license
+artistic-1 2 0.95 artistic license version|v? 1|v1 0?
+artistic-2 2 0.95 artistic license version|v? 2|v2 0?
+artistic-2 4 1.0 spdx license identifier artistic 2 0
+artistic 1 0.7 artistic license
+perl 2 0.9 under the same terms as perl itself
+bsl-1 4 1.0 spdx license identifier bsl 1 0
+bsl-1 2 0.95 boost software license version|v? 1|v1 0?
+bsl-1 3 0.95 permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation
+bsl 1 0.7 boost software license
+busl-1.1 4 1.0 spdx license identifier busl 1 1
+busl-1.1 2 0.95 business source license version|v? 1|v1 1
+zlib 4 1.0 spdx license identifier zlib
+zlib 3 0.95 this software is provided as is without any express or implied warranty in no event will the authors be held liable
+zlib 3 0.9 altered source versions must be plainly marked as such and must not be misrepresented
+zlib 2 0.9 zlib libpng? license
+libpng 2 0.9 libpng license
+openssl 2 0.9 openssl license
+openssl 3 0.9 this product includes software developed by the openssl project for use in the openssl toolkit
+curl 2 0.9 curl license
+php-3 2 0.95 php license version|v? 3|v3 0|01?
+php 1 0.7 php license
+psf-2 2 0.95 python software foundation license version|v? 2|v2 0?
+psf 1 0.8 python software foundation license
+psf 1 0.8 psf license agreement?
+ruby 1 0.8 ruby license
+ruby 2 0.9 under the same terms as ruby
+unlicense 4 1.0 spdx license identifier unlicense
+unlicense 3 0.99 this is free and unencumbered software released into the public domain
+unlicense 2 0.9 the unlicense
+unlicense 1 0.8 under the? unlicense
+wtfpl 2 0.99 do what the fuck you want to public license
+wtfpl 1 0.9 wtfpl
+zpl-2.1 2 0.95 zope public license version|v? 2|v2 1
+zpl 1 0.7 zope public license
+postgresql 2 0.9 postgresql license
+ncsa 2 0.9 university of illinois ncsa open source license
+ncsa 4 1.0 spdx license identifier ncsa
+ecl-2 2 0.95 educational community license version|v? 2|v2 0?
+afl-3 2 0.95 academic free license version|v? 3|v3 0?
+osl-3 2 0.95 open software license version|v? 3|v3 0?
+ms-pl 2 0.9 microsoft public license
+ms-pl 1 0.8 ms pl license?
+ms-rl 2 0.9 microsoft reciprocal license
+ofl-1.1 4 1.0 spdx license identifier ofl 1 1
+ofl-1.1 2 0.95 sil open font license version|v? 1|v1 1
+ofl 1 0.8 sil open font license
+upl-1 2 0.95 universal permissive license version|v? 1|v1 0?
+vim 1 0.8 vim license
+beerware 2 0.9 beer ware license
+json 3 0.95 the software shall be used for good not evil
+elastic-2 2 0.95 elastic license version|v? 2|v2 0?
+sspl-1 2 0.95 server side public license version|v? 1|v1?
+polyform 2 0.9 polyform noncommercial|small|shield|strict business? license
+odbl-1 2 0.95 open database license version|v? 1|v1 0?
+odbl 1 0.8 odbl license?
+odbl 1 0.8 open data commons open database license
+odc-by 2 0.9 open data commons attribution license
+pddl 2 0.9 open data commons public domain dedication
+cdla-permissive 2 0.9 community data license agreement permissive
+cdla-sharing 2 0.9 community data license agreement sharing
+cecill 2 0.9 cecill free? software? license
+mulan-2 2 0.95 mulan permissive software license version|v? 2|v2
+mulan-2 1 0.9 mulanpsl 2
+cc0 4 1.0 spdx license identifier cc0 1 0
+cc0 2 0.95 creative commons zero
+cc0 2 0.95 cc0 1 0 universal?
+cc0 3 0.95 waived all copyright and related or neighboring rights
+cc0 2 0.9 licensed|released|published|available under the? cc0
+cc0 1 0.8 cc0 license
+cc-by 4 1.0 spdx license identifier cc by 3|4 0
+cc-by-sa 4 1.0 spdx license identifier cc by sa 3|4 0
+cc-by-nc 4 1.0 spdx license identifier cc by nc 3|4 0
+cc-by-nd 4 1.0 spdx license identifier cc by nd 3|4 0
+cc-by-nc-sa 4 1.0 spdx license identifier cc by nc sa 3|4 0
+cc-by-nc-nd 4 1.0 spdx license identifier cc by nc nd 3|4 0
+cc-by 2 0.9 cc by 1|2|3|4 0|5
+cc-by-sa 2 0.9 cc by sa 1|2|3|4 0|5
+cc-by-nc 2 0.9 cc by nc 1|2|3|4 0|5
+cc-by-nd 2 0.9 cc by nd 1|2|3|4 0|5
+cc-by-nc-sa 2 0.9 cc by nc sa 1|2|3|4 0|5
+cc-by-nc-nd 2 0.9 cc by nc nd 1|2|3|4 0|5
+cc-by 1 0.8 cc by license
+cc-by-sa 1 0.85 cc by sa
+cc-by-nd 1 0.85 cc by nd
+cc-by-nc-sa 1 0.85 cc by nc sa
+cc-by-nc-nd 1 0.85 cc by nc nd
+cc-by 2 0.9 creative commons attribution 1|2|3|4 0|5
+cc-by 2 0.9 creative commons attribution international|unported? license
+cc-by-sa 2 0.9 creative commons attribution share alike
+cc-by-sa 2 0.9 creative commons attribution sharealike
+cc-by-nc 2 0.9 creative commons attribution non commercial
+cc-by-nc 2 0.9 creative commons attribution noncommercial
+cc-by-nd 2 0.9 creative commons attribution no derivatives
+cc-by-nd 2 0.9 creative commons attribution noderivatives|noderivs
+cc-by-nc-sa 2 0.9 creative commons attribution noncommercial share alike
+cc-by-nc-sa 2 0.9 creative commons attribution noncommercial sharealike
+cc-by-nc-sa 2 0.9 creative commons attribution non commercial share alike
+cc-by-nc-sa 2 0.9 creative commons attribution non commercial sharealike
+cc-by-nc-nd 2 0.9 creative commons attribution noncommercial noderivatives|noderivs
+cc-by-nc-nd 2 0.9 creative commons attribution noncommercial no derivatives
+cc-by-nc-nd 2 0.9 creative commons attribution non commercial no derivatives
+cc-by 2 0.9 creativecommons org licenses by 1|2|3|4 0|5
+cc-by-sa 2 0.9 creativecommons org licenses by sa 1|2|3|4 0|5
+cc-by-nc 2 0.9 creativecommons org licenses by nc 1|2|3|4 0|5
+cc-by-nd 2 0.9 creativecommons org licenses by nd 1|2|3|4 0|5
+cc-by-nc-sa 2 0.9 creativecommons org licenses by nc sa 1|2|3|4 0|5
+cc-by-nc-nd 2 0.9 creativecommons org licenses by nc nd 1|2|3|4 0|5
+cc0 2 0.9 creativecommons org publicdomain zero
+public-domain 2 0.9 creativecommons org publicdomain mark
+public-domain 2 0.8 released|placed|dedicated into|in|to the public domain
+public-domain 1 0.7 public domain dedication
+proprietary 2 0.8 proprietary and confidential
+"""
+
+COMMON = {"under", "the", "of", "to", "open", "or", "any", "later", "only", "clause", "public", "general", "by", "as", "0", "1", "2", "3", "4"}
 
 
 def signature(words: str) -> str:
@@ -67,51 +317,51 @@ def signature(words: str) -> str:
     out = []
     for w in words.split():
         optional, w = w.endswith("?"), w.rstrip("?")
+        w = re.sub(r"\blicense\b", "licen[cs]e", w)
         unit = f" (?:{w}) " if "|" in w else f" {w} "
         out.append(f"(?:{unit})?" if optional else unit)
     return "".join(out)
 
 
-def alternatives(keyword: str, name: str) -> list[tuple[str, str]]:
-    """(keyword, name) of each way to write a name; a keyword that is one of several choices gives each choice its own."""
-    words = name.split()
-    if keyword in words:
-        return [(keyword, name)]
-    at = next(i for i, w in enumerate(words) if keyword in w.split("|"))
-    return [(w, " ".join([*words[:at], w, *words[at + 1:]])) for w in words[at].split("|")]
+def _worded() -> list[tuple[str, int, float, str]]:
+    """label, priority, confidence, rule words."""
+    rows = []
+    for line in RULES.strip().splitlines():
+        label, priority, confidence, words = line.split(" ", 3)
+        rows.append((label, int(priority), float(confidence), words))
+    return rows + [(label, 2, 0.85, words) for words, label in BASE]
 
 
-def _worded() -> list[tuple[str, str, int, float, str]]:
-    """label, keyword, priority, confidence, rule words."""
-    names = [(label, *way) for label, keyword, name in NAMES for way in alternatives(keyword, name)]
-    rows = [(label, keyword, p, c, frame.format(name)) for p, c, frame in FRAMES for label, keyword, name in names]
-    rows += [(label, keyword, 2, 0.8, name + " 1|2|3|4 0|5") for label, keyword, name in names if keyword == "cc"]
-    return rows + [(label, words.split()[0], 2, 0.85, words) for words, label in BASE]
+def fixed_run(words: str) -> list[str]:
+    """The run of words that every match of a rule holds as they stand, with the most letters in telling words; the first of equal ones."""
+    best, run = [], []
+    told = lambda run: sum(len(w) for w in run if w not in COMMON)
+    for w in words.split():
+        run = [*run, w] if w.isalnum() and w != "license" else []
+        best = run if told(run) > told(best) else best
+    return best
 
 
 def rules() -> list[tuple[int, str, str, int, float, str]]:
     """number, label, padded keyword, priority, confidence, expression; earlier rules win ties."""
-    return [(i, label, f" {keyword} ", p, c, signature(words)) for i, (label, keyword, p, c, words) in enumerate(_worded())]
+    return [(i, label, f" {'  '.join(fixed_run(words))} ", p, c, signature(words)) for i, (label, p, c, words) in enumerate(_worded())]
 
 
 def _gate() -> str:
-    """What every text with a detection matches: a word on licenses, or the beginning of a rule that needs none.
-
-    The beginning are the words up to the first that may be missing; if that is one word or none, it is the whole rule.
-    """
-    gap, begins = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]", {}
+    """What every text with a detection matches: a word on licenses, or two neighbours of the fixed run of a rule without one."""
+    gap, heads = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]", {}
     for *_, words in _worded():
-        words = words.split()
-        if any(all("licen" in x for x in w.split("|")) for w in words if not w.endswith("?")):
+        if any(all("licen" in x for x in w.split("|")) for w in words.split() if not w.endswith("?")):
             continue
-        fixed = next((i for i, w in enumerate(words) if w.endswith("?")), len(words))
-        units = [f"(?:{w.rstrip('?')}){gap}+" for w in words]
-        units = units[:fixed] if fixed > 1 else [f"(?:{u})?" if w.endswith("?") else u for u, w in zip(units, words)]
-        begins["".join(units).removesuffix(f"{gap}+")] = True
-    return f"(?i)licen|(?:^|{gap})(?:{'|'.join(begins)})"
+        run = fixed_run(words)
+        first, second = max(zip(run, [*run[1:], ""]), key=lambda pair: len(pair[0]) * bool(pair[1]) + len(pair[1]))
+        heads.setdefault(first, set()).add(second)
+    ways = [first if "" in more else f"{first}{gap}+(?:{'|'.join(sorted(more))})" for first, more in heads.items()]
+    return f"(?i)licen|(?:^|{gap})(?:{'|'.join(ways)})"
 
 
 GATE = _gate()
+LEVELS = sorted({p for _, p, *_ in _worded()})
 
 
 def padded(text: Column) -> Column:
@@ -162,13 +412,12 @@ def surviving(found: DataFrame) -> DataFrame:
     rows = found.filter("NOT base")
     by_start = Window.partitionBy("row").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy("row").orderBy("start", F.desc("end"), "rule").rowsBetween(Window.unboundedPreceding, -1)
-    levels = sorted({p for p, _, _ in FRAMES})
-    reach = {p: F.max(F.when(F.col("priority") > p, F.col("end"))).over(by_start) for p in levels}
-    alike = {p: F.max(F.when(F.col("priority") == p, F.col("end"))).over(earlier) for p in levels}
-    for p in levels:
+    reach = {p: F.max(F.when(F.col("priority") > p, F.col("end"))).over(by_start) for p in LEVELS}
+    alike = {p: F.max(F.when(F.col("priority") == p, F.col("end"))).over(earlier) for p in LEVELS}
+    for p in LEVELS:
         rows = rows.withColumn(f"reach{p}", F.greatest(reach[p], alike[p]))
-    cover = F.coalesce(*[F.when(F.col("priority") == p, F.col(f"reach{p}")) for p in levels])
-    return rows.filter(cover.isNull() | (cover < F.col("end"))).drop(*[f"reach{p}" for p in levels])
+    cover = F.coalesce(*[F.when(F.col("priority") == p, F.col(f"reach{p}")) for p in LEVELS])
+    return rows.filter(cover.isNull() | (cover < F.col("end"))).drop(*[f"reach{p}" for p in LEVELS])
 
 
 def license_scan(docs: DataFrame) -> DataFrame:
@@ -206,7 +455,7 @@ def oracle() -> str:
     listed += [(len(listed) + i, label, f" {words.split()[0]} ", 0, 0.0, signature(words), True) for i, (words, label) in enumerate(BASE)]
     values = ", ".join(f"({i}, {_quoted(label)}, {_quoted(k)}, {p}, {c}::DOUBLE, {_quoted(e)}, {b})" for i, label, k, p, c, e, b in listed)
     reach = " ".join(f"WHEN {p} THEN greatest(max(\"end\") FILTER (priority > {p}) OVER s, max(\"end\") FILTER (priority = {p}) OVER e)"
-                     for p in sorted({p for p, _, _ in FRAMES}))
+                     for p in LEVELS)
     return f"""
 WITH rules(rule, label, keyword, priority, confidence, expression, base) AS (VALUES {values}),
 d AS (SELECT row_number() OVER () AS row, doc_id, regexp_matches(coalesce(text, ''), {_quoted(GATE)}) AS gated, trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

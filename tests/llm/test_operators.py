@@ -370,20 +370,21 @@ def test_license_labels(documents):
     assert got[3]["base_labels"] == "apache-2" and got[3]["labels"] == "apache-2" and 0 < got[3]["score"] <= 1
     assert (got[4]["labels"], got[4]["score"], got[4]["first_word"], got[4]["n_words"]) == ("", 0.0, None, 2)
     assert got[6]["n_base"] == 0
-    assert len(licenses.rules()) > 300
+    assert len(licenses.rules()) > 250
 
 
 def test_license_prefilters_drop_nothing(documents, monkeypatch):
-    texts = ["Released under MIT.", "Distributed under the terms of the Apache 2.0.", "Published under CC0 1.0", "Licensed under the Expat License",
-             "under the FreeBSD 2 clause licence", "modified three clause bsd 2.0", "Zlib\n1.1", "Available under: original 4-clause", "version 2.1.0"]
+    texts = ["Distributed under the terms of the Apache 2.0 license.", "Published under CC0 1.0", "Licensed under the Expat License", "under the FreeBSD 2 clause licence",
+             "modified BSD license", "Available under the original BSD Licence", "version 2.1.0"]
     for *_, words in licenses._worded():
         words = words.split()
         texts.append("x. " + " ".join(w.rstrip("?").split("|")[0] for w in words) + ".")
         texts.append(", ".join(w.split("|")[-1] for w in words if not w.endswith("?")).upper())
     labels = lambda: {r["doc_id"]: (r["labels"], r["score"]) for r in rows(licenses.license_scan(documents(list(enumerate(texts)))))}
     got = labels()
-    assert [got[i][0] for i in range(9)] == ["mit", "apache-2", "cc0", "mit", "bsd-2-clause", "bsd-3-clause", "zlib", "bsd-4-clause", ""]
-    assert all(got[i][0] for i in range(9, len(texts)))
+    assert [got[i][0] for i in range(7)] == ["apache-2", "cc0", "mit", "bsd-2-clause", "bsd-3-clause", "bsd-4-clause", ""]
+    assert all(got[i][0] for i in range(7, len(texts)))
+    assert all(keyword.strip() for _, _, keyword, *_ in licenses.rules())
     listed = [(i, label, "", *rest) for i, label, _, *rest in licenses.rules()]
     monkeypatch.setattr(licenses, "GATE", "")
     monkeypatch.setattr(licenses, "rules", lambda: listed)
