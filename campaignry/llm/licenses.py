@@ -7,6 +7,7 @@ detections overlap, one that lies inside another of higher priority, or inside a
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame, Window
@@ -342,6 +343,11 @@ def fixed_run(words: str) -> list[str]:
     return best
 
 
+def telling(run: list[str]) -> str:
+    """The longest word of a run that is not common; every text has the empty word."""
+    return max((w for w in run if w not in COMMON), key=len, default="")
+
+
 def rules() -> list[tuple[int, str, str, int, float, str]]:
     """number, label, padded keyword, priority, confidence, expression; earlier rules win ties."""
     return [(i, label, f" {'  '.join(fixed_run(words))} ", p, c, signature(words)) for i, (label, p, c, words) in enumerate(_worded())]
@@ -386,13 +392,15 @@ def _places(text: Column, pattern: Column) -> Column:
 def detections(docs: DataFrame) -> DataFrame:
     """row, rule, label, priority, confidence, base, start, end of all matches, in words; end exclusive."""
     kind = "struct<rule:int,label:string,keyword:string,priority:int,confidence:double,expression:string,base:boolean>"
-    listed = rules()
-    listed = [(*r, False) for r in listed] + [(len(listed) + i, label, f" {words.split()[0]} ", 0, 0.0, signature(words), True)
-                                              for i, (words, label) in enumerate(BASE)]
-    table = F.from_json(F.lit(_json(listed)), f"array<{kind}>")
+    by_word: dict[str, list[tuple]] = {}
+    for rule in _listed():
+        by_word.setdefault(telling(rule[2].split()), []).append(rule)
+    table = F.from_json(F.lit(_json(by_word)), f"map<string,array<{kind}>>")
     rows = docs.filter(F.col("gated")).select("row", padded(F.col("text")).alias("words"))
-    # The rules are constants of the plan; only those whose keyword occurs become rows.
-    tried = rows.select("row", "words", F.explode(F.filter(table, lambda r: F.contains(F.col("words"), r["keyword"]))).alias("r"))
+    # The rules are constants of the plan, found by a word of their keyword; only those whose whole keyword occurs become rows.
+    words = F.split(F.concat(F.lit("  "), F.trim("words")), "  ")
+    met = rows.select("row", "words", F.explode(F.array_intersect(words, F.array(*map(F.lit, by_word)))).alias("word"))
+    tried = met.select("row", "words", F.explode(F.filter(F.element_at(table, F.col("word")), lambda r: F.contains(F.col("words"), r["keyword"]))).alias("r"))
     hits = tried.select("row", "r.rule", "r.label", "r.priority", "r.confidence", "r.base",
                         F.explode(_places(F.col("words"), F.col("r.expression"))).alias("m"))
     run = Window.partitionBy("row", "rule").orderBy("m.i").rowsBetween(Window.unboundedPreceding, 0)
@@ -400,11 +408,15 @@ def detections(docs: DataFrame) -> DataFrame:
     return ended.select("row", "rule", "label", "priority", "confidence", "base", (F.col("end") - F.col("m.hit")).alias("start"), "end")
 
 
-def _json(listed: list[tuple]) -> str:
-    import json
+def _listed() -> list[tuple]:
+    """The rules, then the base phrases, with a mark that tells them apart."""
+    named = [(*r, False) for r in rules()]
+    return named + [(len(named) + i, label, f" {'  '.join(fixed_run(words))} ", 0, 0.0, signature(words), True) for i, (words, label) in enumerate(BASE)]
+
 
+def _json(by_word: dict[str, list[tuple]]) -> str:
     names = ["rule", "label", "keyword", "priority", "confidence", "expression", "base"]
-    return json.dumps([dict(zip(names, r)) for r in listed])
+    return json.dumps({word: [dict(zip(names, r)) for r in listed] for word, listed in by_word.items()})
 
 
 def surviving(found: DataFrame) -> DataFrame:
@@ -451,8 +463,7 @@ def _quoted(value: str) -> str:
 
 
 def oracle() -> str:
-    listed = [(*r, False) for r in rules()]
-    listed += [(len(listed) + i, label, f" {words.split()[0]} ", 0, 0.0, signature(words), True) for i, (words, label) in enumerate(BASE)]
+    listed = _listed()
     values = ", ".join(f"({i}, {_quoted(label)}, {_quoted(k)}, {p}, {c}::DOUBLE, {_quoted(e)}, {b})" for i, label, k, p, c, e, b in listed)
     reach = " ".join(f"WHEN {p} THEN greatest(max(\"end\") FILTER (priority > {p}) OVER s, max(\"end\") FILTER (priority = {p}) OVER e)"
                      for p in LEVELS)
