@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from campaignry import schema as S
 from campaignry.functions import kpi as k
 from campaignry.plans.ordering import SortedRuns
-from campaignry.session import local_frame
+from campaignry.session import cut_lineage, local_frame
 from campaignry.tables import Tables
 
 
@@ -399,9 +399,23 @@ def mean_null_pct(t: Tables) -> DataFrame:
         k.ratio(F.sum("null_count") * 100, F.max("total_rows") * F.count("column_name"), 4).alias("mean_null_pct"))
 
 
+def repeated_prints(frames: dict[str, DataFrame]) -> DataFrame:
+    """table_name and fingerprint of all rows that may be repeated: eight bytes a row are grouped, not rows."""
+    prints = _union([df.select(F.lit(n).alias("table_name"), F.xxhash64(*df.columns).alias("fingerprint")) for n, df in frames.items()])
+    return prints.groupBy("table_name", "fingerprint").count().filter("count > 1").select("table_name", "fingerprint")
+
+
+def repeated_rows(df: DataFrame, prints: DataFrame) -> DataFrame:
+    """The rows under these fingerprints. The written fingerprints have a known size: few are broadcast, many are joined."""
+    names = [f"_c{i}" for i in range(len(df.columns))]  # no clash with the join's own column
+    return df.toDF(*names).withColumn("fingerprint", F.xxhash64(*names)).join(prints, "fingerprint", "left_semi").drop("fingerprint")
+
+
 def dup_rows(t: Tables) -> DataFrame:
-    return _union([surplus(t[n], t[n].columns, "duplicate_rows").select(F.lit(n).alias("table_name"), "duplicate_rows")
-                   for n in S.LOAD_ORDER])
+    """Rows beyond the first of their kind. Whole rows are compared only where a fingerprint of them occurs again."""
+    prints = cut_lineage(repeated_prints({n: t[n] for n in S.LOAD_ORDER}))
+    rows = {n: repeated_rows(t[n], prints.filter(F.col("table_name") == n).select("fingerprint")) for n in S.LOAD_ORDER}
+    return _union([surplus(df, df.columns, "duplicate_rows").select(F.lit(n).alias("table_name"), "duplicate_rows") for n, df in rows.items()])
 
 
 def dup_keys(t: Tables) -> DataFrame:

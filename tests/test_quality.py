@@ -4,10 +4,11 @@ from datetime import date
 from tests.conftest import rows_by, touch, won
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from campaignry.functions import kpi
 from campaignry.operators import quality
-from campaignry.session import local_frame
+from campaignry.session import cut_lineage, local_frame
 
 
 def test_orphans_duplicates_and_rules(make):
@@ -76,3 +77,24 @@ def test_a_missing_column_fails_its_own_check_only(star):
         less = rows_by(quality.dq_run(replace(star, **{table: star[table].drop(column)}, _memo={}, _dims={})), "name")
         assert {n for n in whole if less[n]["status"] == "FAIL" and less[n]["actual"] is None} == names
         assert all(less[n]["status"] == whole[n]["status"] for n in whole if n not in names)
+
+
+def test_repeated_rows_are_found_by_fingerprint_and_compared_whole(spark):
+    rows = [(1, "a"), (1, "a"), (1, "a"), (2, None), (2, None), (3, "b"), (None, None), (4, "c")]
+    df = local_frame(spark, rows, "fingerprint int, table_name string")
+    prints = quality.repeated_prints({"x": df, "y": df.limit(1)})
+    assert [r["table_name"] for r in prints.collect()] == ["x", "x"]
+    found = quality.repeated_rows(df, prints.select("fingerprint"))
+    assert sorted(map(tuple, found.collect()), key=str) == [(1, "a")] * 3 + [(2, None)] * 2
+    assert quality.surplus(found, found.columns, "n").first()["n"] == 3
+    every = local_frame(spark, [(r.fingerprint,) for r in df.select(F.xxhash64(*df.columns).alias("fingerprint")).collect()], "fingerprint long")
+    found = quality.repeated_rows(df, every.distinct())  # fingerprints of rows that differ do no harm
+    assert quality.surplus(found, found.columns, "n").first()["n"] == 3
+    assert quality.surplus(quality.repeated_rows(df, prints.limit(0).select("fingerprint")), ["_c0", "_c1"], "n").first()["n"] == 0
+
+
+def test_whole_rows_are_not_shuffled_for_their_repeats(star):
+    """The join of rows with fingerprints broadcasts the fingerprints; only rows under them are grouped."""
+    prints = cut_lineage(quality.repeated_prints({"customers": star.customers}))
+    plan = quality.repeated_rows(star.customers, prints.select("fingerprint"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
