@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from campaignry.functions import kpi as k
 from campaignry.plans.ordering import running_sums
-from campaignry.tables import Tables
+from campaignry.tables import Tables, if_small
 
 CHUNK = 50_000
 
@@ -37,8 +37,9 @@ def target_audience(t: Tables, total: int | None = None, seed: int = 42) -> Data
     """Customers drawn per campaign without replacement from its segment, or from all if too few.
 
     Eligible customers are put in hash order once per pool over range partitions. A campaign takes
-    a run of positions that starts at its own hashed place and wraps around, so the draw is an
-    equi-join on (pool, position): no campaign is paired with customers it does not contact.
+    a run of positions that starts at its own hashed place and wraps around. The runs are cut at
+    every CHUNK positions, so the draw joins few pieces of runs with the ordered customers on
+    (pool, chunk): the positions a campaign asks for are never written out or sorted.
     """
     able = t.customers.filter(F.col("is_active") & ~F.col("is_dnc"))
     pooled = able.select(
@@ -57,12 +58,16 @@ def target_audience(t: Tables, total: int | None = None, seed: int = 42) -> Data
         "campaign_id", F.when(enough, F.col("target_segment")).otherwise("All").alias("pool"),
         F.when(enough, F.col("seg_size")).otherwise(F.col("all_size")).alias("size"), "allocated").withColumns({
         "n": F.least("allocated", "size"), "start": k.stable_hash(F.lit(seed), F.lit("campaign"), "campaign_id") % F.col("size")})
-    chunks = wish.filter("n > 0").withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {CHUNK}")))).repartition("campaign_id", "chunk")
-    seats = chunks.select("campaign_id", "pool", F.explode(F.sequence(
-        F.col("chunk") * CHUNK, F.least((F.col("chunk") + 1) * CHUNK, F.col("n")) - 1)).alias("i"), "start", "size")
-    wanted = seats.select("campaign_id", "pool", ((F.col("start") + F.col("i")) % F.col("size")).alias("place"))
-    return wanted.join(places, ["pool", "place"]).select("campaign_id", "pool", "customer_id")
+    # One or two runs without a wrap per campaign, then one row per chunk they touch.
+    wraps = F.greatest(F.col("start") + F.col("n") - F.col("size"), F.lit(0))
+    part = lambda lo, hi: F.struct(lo.cast("long").alias("lo"), hi.cast("long").alias("hi"))
+    runs = wish.filter("n > 0").select("campaign_id", "pool", F.explode(F.array(
+        part(F.col("start"), F.col("start") + F.col("n") - wraps), part(F.lit(0), wraps))).alias("run")).filter("run.lo < run.hi")
+    pieces = if_small(runs.select("campaign_id", "pool", "run.lo", "run.hi", F.explode(F.sequence(
+        F.expr(f"run.lo div {CHUNK}"), F.expr(f"(run.hi - 1) div {CHUNK}"))).alias("chunk")))
+    chunked = places.withColumn("chunk", F.expr(f"place div {CHUNK}"))
+    return chunked.join(pieces, ["pool", "chunk"]).filter((F.col("place") >= F.col("lo")) & (F.col("place") < F.col("hi"))).select(
+        "campaign_id", "pool", "customer_id")
 
 
 def dnc_refresh(t: Tables) -> DataFrame:

@@ -97,3 +97,15 @@ def test_histogram_edges(make):
     people = [dict(customer_id=i, customer_code=f"C{i}", credit_score=300 + i) for i in range(0, 36)]
     got = [r for r in explore.hist(make(customers=people)).collect() if r["metric"] == "credit_score"]
     assert sum(r["n"] for r in got) == 36 and {r["bin"]: r["n"] for r in got}[34] == 2  # the top edge stays in the last bin
+
+
+def test_audience_is_drawn_without_writing_out_positions(star, monkeypatch):
+    """Runs cut into chunks, wrapped ones too, give each campaign its positions; the customers meet pieces, not single seats."""
+    want = sorted(map(tuple, derive.target_audience(star, total=900).collect()))
+    monkeypatch.setattr(derive, "CHUNK", 7)
+    df = derive.target_audience(star, total=900)
+    assert sorted(map(tuple, df.collect())) == want and len(set(want)) == len(want)
+    assert {c: sum(w[0] == c for w in want) for c, _, _ in want} == {
+        r["campaign_id"]: r["allocated"] for r in derive.allocate_contacts(star, 900).collect() if r["allocated"]}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "place" not in "".join(line for line in plan.splitlines() if "hashpartitioning" in line)
