@@ -83,3 +83,19 @@ def test_whole_numbers_with_a_zero_fraction_and_quoted_header(spark, tmp_path):
     write("12.5")
     with pytest.raises(Exception):
         load.read_csv(spark, str(path), "customer_products").collect()
+
+
+def test_a_load_reads_its_source_once_to_count_and_once_to_write(spark, star):
+    """No third time for a sample of the rows."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+    rows = star.campaign_interactions
+    folder = scratch_path(spark, "once")
+    result = load.load_table(rows.mapInArrow(passed, rows.schema), "campaign_interactions", folder)
+    assert result[2] == result[3] == rows.count() and seen.value == 2 * rows.count()
+    stored = spark.read.parquet(f"{folder}/campaign_interactions").drop("load_month")
+    assert sorted(map(str, stored.select(rows.columns).collect())) == sorted(map(str, rows.collect()))
