@@ -109,3 +109,19 @@ def test_audience_is_drawn_without_writing_out_positions(star, monkeypatch):
         r["campaign_id"]: r["allocated"] for r in derive.allocate_contacts(star, 900).collect() if r["allocated"]}
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "place" not in "".join(line for line in plan.splitlines() if "hashpartitioning" in line)
+
+
+def test_all_starts_share_a_pass_and_end_where_spark_ends(star, monkeypatch):
+    from pyspark.ml.clustering import KMeans
+    rounds, one_round = [], clusters.one_round
+    monkeypatch.setattr(clusters, "one_round", lambda rows, centres: rounds.append(len(centres)) or one_round(rows, centres))
+    got = clusters.best_fits(star, [2, 4], 42, 3, 40)
+    assert rounds[0] == 6 and len(rounds) <= 40 and rounds == sorted(rounds, reverse=True)
+    rows = clusters.vectors(star)
+    for n in (2, 4):
+        fits = [KMeans(k=n, seed=42 + i, maxIter=40).fit(rows) for i in range(3)]
+        want = min(fits, key=lambda m: m.summary.trainingCost)
+        assert got[n].cost == pytest.approx(want.summary.trainingCost, rel=1e-9)
+        assert np.allclose(got[n].points, np.array(want.clusterCenters()), atol=1e-8)
+        mine, theirs = [{r["customer_id"]: r["prediction"] for r in m.transform(rows).collect()} for m in (got[n], want)]
+        assert mine == theirs
