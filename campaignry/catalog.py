@@ -155,7 +155,7 @@ def _customers() -> dict[str, Operator]:
         "build_feature_matrix": rounded(features.build_feature_matrix),
         "scale_features": rounded(features.scale_features),
         "rfm_score_py": rounded(score),
-        "rfm_label_py": _of(score, "customer_id", "rfm_segment"),
+        "rfm_label_py": _of(rfm.rfm_labels, "customer_id", "rfm_segment"),
         "rfm_segment_stats": rfm.rfm_segment_stats,
         "rfm_fm_grid": rfm.rfm_fm_grid,
         "rfm_bank_mix": rfm.rfm_bank_mix,
@@ -181,7 +181,7 @@ def _load() -> dict[str, Operator]:
         "gold_views": load.gold_views,
         "bronze_audit": load.bronze_audit,
         "sink_csv": lambda t: load.sink(
-            rfm.rfm_score_py(t).select("customer_id", "R", "F", "M", "rfm_score", "rfm_segment"),
+            rfm.rfm_labels(t).select("customer_id", "R", "F", "M", "rfm_score", "rfm_segment"),
             scratch_path(t.spark, "rfm-scores"), "csv"),
     }
 

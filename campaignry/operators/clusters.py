@@ -18,7 +18,7 @@ from pyspark.util import inheritable_thread_target
 
 from campaignry.functions import kpi as k
 from campaignry.operators.features import SCALE_COLUMNS, build_feature_matrix, scale_features
-from campaignry.operators.rfm import LABELS, rfm_score_py
+from campaignry.operators.rfm import LABELS, rfm_labels
 from campaignry.session import cut_lineage, local_frame
 from campaignry.tables import Tables
 
@@ -235,7 +235,7 @@ def cluster_profile(t: Tables) -> DataFrame:
 
 def cluster_rfm_crosstab(t: Tables) -> DataFrame:
     """Label shares within each cluster and the dominant label."""
-    rows = labelled(t).select("customer_id", "cluster").join(rfm_score_py(t).select("customer_id", "rfm_segment"), "customer_id")
+    rows = labelled(t).select("customer_id", "cluster").join(rfm_labels(t).select("customer_id", "rfm_segment"), "customer_id")
     counts = rows.groupBy("cluster", "rfm_segment").agg(F.count(F.lit(1)).alias("n"))
     pct = counts.withColumn("pct", k.share("n", F.sum("n").over(Window.partitionBy("cluster"))))  # nine rows each
     wide = pct.groupBy("cluster").pivot("rfm_segment", LABELS).agg(F.max("pct")).fillna(0.0)
@@ -248,7 +248,7 @@ def cluster_rfm_crosstab(t: Tables) -> DataFrame:
 
 def cluster_assign(t: Tables) -> DataFrame:
     names = F.create_map(*[F.lit(x) for i, n in enumerate(CLUSTER_NAMES) for x in (i, n)])
-    return _assigned(t).join(rfm_score_py(t).select("customer_id", "rfm_segment"), "customer_id").select(
+    return _assigned(t).join(rfm_labels(t).select("customer_id", "rfm_segment"), "customer_id").select(
         "customer_id", "cluster", "customer_segment", "annual_income", "credit_score", "age", "tenure_days", "recency_days",
         "freq_12m", "total_revenue", "n_active_products", "response_rate", names[F.col("cluster")].alias("cluster_name"), "rfm_segment")
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from campaignry.functions import kpi as k
-from campaignry.operators.revenue import typed_conversions
+from campaignry.operators.revenue import counted_conversions, typed_conversions
 from campaignry.plans.ordering import percentiles
 from campaignry.schema import CATEGORIES, CONVERSION_TYPES, SEGMENTS
 from campaignry.session import cut_lineage
@@ -151,6 +151,28 @@ def build_feature_matrix(t: Tables) -> DataFrame:
     return t._memo["features"]
 
 
+def scoring_inputs(t: Tables, holdings: bool = False) -> DataFrame:
+    """The columns of the feature matrix that the RFM score and its profiles read, one row per customer.
+
+    A matrix already cut is taken as it is. Otherwise the facts are aggregated for these columns alone: no pairs of
+    customer and campaign or channel, no conversion types, and holdings only when asked for.
+    """
+    if "features" in t._memo:
+        return t._memo["features"]
+    touches = t.campaign_interactions.groupBy("customer_id").agg(
+        F.datediff(t.today, F.max("interaction_date")).alias("recency_days"),
+        k.n_if(F.col("interaction_date") >= F.date_sub(t.today, 365)).alias("freq_12m"))
+    money = counted_conversions(t).groupBy("customer_id").agg(F.sum("revenue_attributed").cast("double").alias("total_revenue"))
+    rows = t.customers.select(
+        "customer_id", F.col("annual_income").cast("double").alias("annual_income"), "credit_score", "customer_segment",
+        F.datediff(t.today, "acquisition_date").alias("tenure_days"),
+    ).join(touches, "customer_id", "left").join(money, "customer_id", "left")
+    if holdings:
+        active = t.customer_products.filter(F.col("status") == "Active").join(t.product_category().select("product_id"), "product_id")
+        rows = rows.join(active.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n_active_products")), "customer_id", "left")
+    return cut_lineage(rows.withColumn("recency_days", F.coalesce("recency_days", "tenure_days")).drop("tenure_days").fillna(0))
+
+
 def scale_features(t: Tables) -> DataFrame:
     """Zero mean and unit population deviation; constant columns become 0."""
     feat = build_feature_matrix(t)

@@ -53,6 +53,20 @@ def typed_conversions(t: Tables) -> DataFrame:
     return t.campaign_conversions.join(kinds, "interaction_id", "left")
 
 
+def counted_conversions(t: Tables) -> DataFrame:
+    """Conversions without their type, each as often as ``typed_conversions`` holds it.
+
+    Matching the types repeats a conversion only if its interaction id was won more than once, so without such ids
+    the types are not derived.
+    """
+    if "conversion_type" in t.campaign_conversions.columns:
+        return t.campaign_conversions
+    won = t.campaign_interactions.filter(k.outcome_is("Converted") & F.col("interaction_id").isNotNull())
+    times = won.join(t.campaign_dim().select("campaign_id"), "campaign_id").groupBy("interaction_id").agg(F.count(F.lit(1)).alias("n"))
+    most = times.agg(F.max("n").alias("n")).first()["n"]
+    return t.campaign_conversions if most is None or most == 1 else typed_conversions(t)
+
+
 def conversion_dates(conversions: DataFrame) -> DataFrame:
     d = F.col("conversion_date")
     return conversions.withColumns({

@@ -1,11 +1,14 @@
+from collections import defaultdict
+from dataclasses import replace
 from datetime import date
 
 import numpy as np
 import pytest
 from tests.conftest import money, rows_by, touch, won
 from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.sql import functions as F
 
-from campaignry.operators import clusters, derive, explore, features, rfm
+from campaignry.operators import clusters, derive, explore, features, revenue, rfm
 
 
 def test_customer_without_history(make):
@@ -42,6 +45,44 @@ def test_label_branches_are_all_reachable_or_ordered(star):
     assert abs(sum(float(r["customers_pct"]) for r in rfm.rfm_share(star).collect()) - 100) <= 0.5
 
 
+def test_the_grid_and_the_labels_do_not_read_holdings(star):
+    """Scores depend on no holding, so the joins behind the holdings are not made for them."""
+    rows = rfm.rfm_score_py(replace(star, _memo={})).collect()
+    unread = star.customer_products.withColumn("status", F.raise_error(F.lit("holdings were read")).cast("string"))
+    t = replace(star, customer_products=unread, _memo={})
+    cells = defaultdict(list)
+    for r in rows:
+        cells[r["F"], r["M"]].append(r["R"])
+    want = {(f, m): np.mean(cells[f, m]) if cells[f, m] else 0 for f in range(1, 6) for m in range(5)}
+    grid = rfm.rfm_fm_grid(t).collect()
+    assert len(grid) == 5 and {(r["F"], m): r[f"m{m}"] for r in grid for m in range(5)} == pytest.approx(want)
+    assert {r["customer_id"]: r["rfm_segment"] for r in rfm.rfm_labels(t).collect()} == {r["customer_id"]: r["rfm_segment"] for r in rows}
+    assert sum(r["customers"] for r in rfm.rfm_segment_stats(t).collect()) == len(rows)
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_scoring_inputs_equal_the_feature_matrix(make, repeated):
+    """Repeated and missing ids count as in the matrix: a conversion is taken once per win of its interaction id."""
+    people = [dict(customer_id=i, customer_code="C", customer_segment="Premier", acquisition_date=day, date_of_birth=date(1981, 8, 2),
+                   annual_income=money(1000) if i else None) for i, day in [
+                       (1, date(2001, 7, 3)), (2, None), (3, date(2000, 1, 1)), (3, date(2000, 1, 2)), (4, date(1999, 1, 1)), (None, None)]]
+    touches = [touch(1, 1, outcome="Converted"), touch(2, 3, outcome="Converted", day=date(1999, 5, 5)), touch(3, 3),
+               touch(None, 3, outcome="Converted"), touch(None, 4, outcome="Converted"), touch(4, None), touch(5, 9, day=None)]
+    if repeated:
+        touches += [touch(1, 1, outcome="Converted"), touch(2, 4, outcome="Converted")]
+    held = [dict(customer_product_id=i, customer_id=c, product_id=p, status=s, product_value=money(5)) for i, (c, p, s) in enumerate(
+        [(1, 1, "Active"), (1, 2, "Active"), (1, 2, "Active"), (3, 2, "Closed"), (3, 9, "Active"), (0, 1, "Active"), (None, 1, "Active")])]
+    t = make(customers=people, campaign_interactions=touches, customer_products=held, campaign_conversions=[
+        won(1, 1), won(1, 1, revenue=50), won(2, 3, revenue=70), won(None, 3, revenue=20), won(9, 4, revenue=30), won(8, None)])
+    t = replace(t, campaign_conversions=t.campaign_conversions.drop("conversion_type"))
+    assert ("conversion_type" in revenue.counted_conversions(t).columns) == repeated
+    cols = ["customer_id", "customer_segment", *rfm.PROFILE]
+    got, want = [sorted(map(repr, build(replace(t, _memo={})).select(cols).collect())) for build in (
+        lambda t: features.scoring_inputs(t, holdings=True), features.build_feature_matrix)]
+    assert got == want and len(got) == 6
+    assert {r["total_revenue"] for r in features.scoring_inputs(replace(t, _memo={})).filter("customer_id = 1").collect()} == {300 if repeated else 150}
+
+
 def test_silhouette_equals_the_evaluator_and_brute_force(star):
     rows = clusters.labelled(star)
     mean = np.mean([r["silhouette"] for r in clusters.silhouette_points(star).collect()])
