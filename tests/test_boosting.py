@@ -83,3 +83,60 @@ def test_search_in_tasks_equals_fits_one_by_one(star):
         assert value == pytest.approx(s.auc(label, b.held_scores(settings[i], x, y, w, held)))
     assert search.run(c) == pytest.approx([sum(got[i, f] for f in range(3)) / 3 for i in range(2)])
     search.close()
+
+
+def test_inputs_that_never_meet_share_a_column_and_count_the_same():
+    x, y, w = data(300)
+    x = np.concatenate([x, np.eye(4)[np.random.default_rng(1).integers(0, 4, 300)], (x[:, :1] > 0).astype(float)], axis=1)
+    cuts = b.cut_points(x)
+    inputs = b.Inputs(b.bin_codes(x, cuts), b.alone)
+    assert len(inputs.narrow) == 5 and len(inputs.bundles) < 5
+    node, rows = np.arange(300) % 3, np.arange(300)
+    asked = np.array([True, False, True, True, False, True, True, True])
+    cells = inputs.histograms(rows, node, 3, y, w, asked)
+    sums = np.stack([np.bincount(node, v, 3) for v in (y, w)])
+    left, feature, last = inputs.left_sums(cells, sums, asked)
+    assert sorted(set(feature)) == list(np.flatnonzero(asked))
+    for i in range(len(feature)):
+        for n in range(3):
+            mine = (node == n) & (inputs.codes[feature[i]] <= last[i])
+            assert left[:, n, i] == pytest.approx([y[mine].sum(), w[mine].sum()])
+
+
+def boost_rows(spark, n=700):
+    x, y, w = data(n)
+    rows = local_frame(spark, [(list(map(float, r)), float(a), float(c)) for r, a, c in zip(x, y, w)], "x array<double>, label double, pos_weight double")
+    return x, rows.select("x", array_to_vector("x").alias("features"), "label", "pos_weight")
+
+
+def test_cuts_of_all_rows_are_those_of_one_task(spark):
+    x, rows = boost_rows(spark)
+    assert all((a == c).all() and len(a) == len(c) for a, c in zip(b.exact_cuts(rows.repartition(5), "x", len(x)), b.cut_points(x), strict=True))
+
+
+def test_fits_spread_over_tasks_grow_the_trees_of_one_task(spark):
+    x, rows = boost_rows(spark)
+    settings = [ONE | {"n_estimators": 2, "max_depth": 3, "colsample_bytree": 0.6, "learning_rate": 0.1}, ONE,
+                ONE | {"n_estimators": 2, "max_depth": 2, "subsample": 0.7}]
+    many = b.fit_spread(rows.repartition(3), len(x), settings)
+    for setting, spread in zip(settings[:2], many):
+        one = b.BoostedTreesClassifier(setting).fit(rows)
+        assert (one.trees.feature == spread.trees.feature).all() and (one.trees.threshold == spread.trees.threshold).all()
+        assert np.allclose(one.trees.value, spread.trees.value) and np.allclose(one.trees.margin(x), spread.trees.margin(x))
+    assert s.auc(np.array([r["label"] for r in rows.collect()]), many[2].trees.margin(x)) > 0.7
+    one_class = b.BoostedTreesClassifier(settings[0], task_rows=200).fit(rows.withColumn("label", F.lit(1.0)))
+    assert (one_class.trees.feature == -1).all()
+
+
+def test_sums_over_tasks_go_in_slices(monkeypatch):
+    class Three:
+        def getTaskInfos(self):
+            return [None] * 3
+
+        def allGather(self, text):
+            sent.append(len(text))
+            return [text] * 3
+    sent = []
+    monkeypatch.setattr(b, "SENT", 240)
+    sums = np.arange(24.0).reshape(2, 3, 4)
+    assert (b.summed(Three(), sums) == 3 * sums).all() and len(sent) == 3
