@@ -63,3 +63,33 @@ def test_a_query_of_one_model_fits_no_other(star, monkeypatch):
     assert p.target_list(t).count() == 20 and p.ml_roi_scenarios(t).count() == 6 and p.ml_threshold_sweep(t).count() == 80
     assert asked == ["Boosted Trees"]
     assert p.all_scored(t).count() == 60 and asked == ["Boosted Trees", "Logistic Regression", "Random Forest"]
+
+
+def test_counting_and_sorting_find_the_best_splits():
+    rng = np.random.default_rng(4)
+    for many in (1, 3, 40):
+        node = np.concatenate([np.arange(many), rng.integers(0, many, 400)])
+        cols = f.drawn_inputs(rng, many, 9, 4)
+        assert all(len(set(c)) == 4 and c.max() < 9 for c in cols)
+        codes, cnt, kind = rng.integers(0, f.BINS, (len(node), 4)).astype(np.uint8), rng.poisson(1, len(node)) + 1, rng.integers(0, 2, len(node))
+        codes[:, 1] //= 16
+        kinds = np.array([0.0, 1.0]), np.array([0.7, 2.5])
+        cw = cnt * kinds[1][kind]
+        want = f.best_splits(codes, node, cnt, cw, cw * kinds[0][kind], many, cols, 3)
+        gini = lambda m: 2 * (cw * kind)[m].sum() * (cw * (1 - kind))[m].sum() / max(cw[m].sum(), 1e-300)
+        for found in (f.counted_splits, f.sorted_splits):
+            gain, col, at = found(codes, node, cnt, kind, kinds, many, cols, 3)
+            assert gain == pytest.approx(want[0])
+            for i in np.flatnonzero(gain > 0):  # the split named has the gain named
+                here, low = node == i, codes[:, list(cols[i]).index(col[i])] <= at[i]
+                assert gain[i] == pytest.approx(gini(here) - gini(here & low) - gini(here & ~low))
+    assert (np.sort(f.drawn_inputs(rng, 5, 4, 4), axis=1) == np.arange(4)).all()
+
+
+def test_many_different_weights_and_trees_in_batches():
+    x, y, w = data()
+    odd = w * np.random.default_rng(1).uniform(0.9, 1.1, len(w))
+    shallow = SETTING | {"max_depth": 5}
+    assert auc(y[400:], f.forest_scores(shallow, x[:400], y[:400], odd[:400], x[400:])) > 0.8
+    few = f.forest_scores(SETTING | {"n_estimators": 31}, x[:400], y[:400], w[:400], x[400:])
+    assert few.min() >= 0 and few.max() <= 1 and auc(y[400:], few) > 0.8
